@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.sources.detail_lines import items, member, records
+from bindery.runtime import spread
+from bindery.sources.detail_lines import items, objects, records
 
 
 def _row(child: str, parent_pos: Column, pos: Column, key: Column) -> Column:
@@ -27,26 +28,29 @@ def _level(elements: Column, child: str, key) -> Column:
 
 def _images(chapters: Column) -> Column:
     def of(chapter: Column, place: Column) -> Column:
-        names = items(F.when(chapter.startswith("{"), F.get_json_object(chapter, "$.image_filenames")))
-        rows = F.transform(names, lambda e, i: F.when(e.isNotNull(), _row("image_filenames", place, i, e)))
+        rows = F.transform(items(chapter["image_filenames"]), lambda e, i: F.when(e.isNotNull(), _row("image_filenames", place, i, e)))
         return F.coalesce(F.filter(rows, lambda row: row.isNotNull()), F.array())
 
     return F.flatten(F.transform(chapters, of))
 
 
 def child_arrays() -> dict[str, Column]:
-    """By target table: the array of its rows for a record `rec`."""
-    chapters = F.col("chapters")
+    """By target table: the array of its rows for an opened record."""
     return {
-        "chapters": _level(chapters, "chapters", lambda e: member(e, "url")),
-        "similar": _level(F.col("similar"), "similar", lambda e: member(e, "slug")),
+        "chapters": _level(F.col("chapters"), "chapters", lambda e: e["url"]),
+        "similar": _level(F.col("similar"), "similar", lambda e: e["slug"]),
         "genre_ids": _level(F.col("genre_ids"), "genre_ids", lambda e: F.regexp_replace(e, r"\.0+$", "")),
-        "image_filenames": _images(chapters),
+        "image_filenames": _images(F.col("chapters")),
     }
 
 
 def _opened(lines: DataFrame) -> DataFrame:
-    return records(lines).select("line_id", *(items(F.col(f"rec.{f}")).alias(f) for f in ("chapters", "similar", "genre_ids")))
+    return records(spread(lines)).select(
+        "line_id",
+        objects(F.col("rec.chapters"), "url", "image_filenames").alias("chapters"),
+        objects(F.col("rec.similar"), "slug").alias("similar"),
+        items(F.col("rec.genre_ids")).alias("genre_ids"),
+    )
 
 
 def children(lines: DataFrame, child: str) -> DataFrame:

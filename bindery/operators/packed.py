@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bindery.runtime import spread
+
 # Separators; the plain comma is apart because it may belong to a title.
 STRONG = r"[;|•；｜，、﹔﹐﹑､]|\r\n|[\n\r\x{0B}\x{0C}\x{85}\x{2028}\x{2029}]|(?<=\s)[/／\-‐‑‒–—―－](?=\s)"
 WEAK = ","
@@ -71,4 +73,4 @@ def values(text: Column) -> Column:
 
 def unpack(df: DataFrame, key: str, field: str) -> DataFrame:
     """(key, pos, val): one row per value of `field`. Repeated rows give their values again."""
-    return df.select(F.col(key), F.posexplode(values(F.col(field))).alias("pos", "val"))
+    return spread(df.select(key, field)).select(F.col(key), F.posexplode(values(F.col(field))).alias("pos", "val"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast by hint only up to this many rows, counted first.
@@ -18,6 +20,7 @@ def session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
@@ -47,3 +50,21 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if its counted rows are within the bound, else as it is."""
     return F.broadcast(df) if small(df, rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores if its scan has fewer than half as many partitions as there are cores.
+
+    Only a table of a few files is moved; a scan of many splits stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once, however often the body names it.
+
+    Catalyst copies an expression into every lambda that names it; a lambda's own
+    variable is evaluated once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

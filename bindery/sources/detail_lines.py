@@ -13,8 +13,8 @@ FIELDS = (
     "slug judul tipe thumb_domain_id thumb_path status_id author artist alternative_title sinopsis rating "
     "genre_list genre_ids chapters latest_chapter_number similar _status _error"
 ).split()
-_RECORD = ", ".join(f"{f} string" for f in FIELDS)
-_OUTER = f"{_RECORD}, data string, payload string, _corrupt string"
+_RECORD = ", ".join(f"{f}: string" for f in FIELDS)
+_OUTER = f"{_RECORD}, data: string, payload: string"
 
 
 def records(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("line_id", "fetched_at")) -> DataFrame:
@@ -24,12 +24,12 @@ def records(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("line
     object and null lines give no row. A record is the line itself if it has a
     slug, else its `data` or `payload.detail`. Other columns of `lines` are dropped.
     """
-    outer = F.from_json(F.col(line), _OUTER, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    whole = F.col(line).rlike(r"(?s)^\s*\{.*\}\s*$") & F.try_parse_json(F.col(line)).isNotNull()
-    parsed = lines.filter(whole).select(*keep, outer.alias("o")).filter(F.col("o").isNotNull() & F.col("o._corrupt").isNull())
+    # Within brackets, whatever follows the object is an error too.
+    outer = F.from_json(F.concat(F.lit("["), F.col(line), F.lit("]")), f"array<struct<{_OUTER}>>", {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    parsed = lines.filter(F.col(line).rlike(r"^\s*\{")).select(*keep, outer.alias("a")).filter(F.size("a") == 1).select(*keep, F.get("a", F.lit(0)).alias("o"))
     inner = F.coalesce(F.when(F.col("o.data").startswith("{"), F.col("o.data")), F.get_json_object("o.payload", "$.detail"))
     bare = F.struct(*(F.col(f"o.{f}").alias(f) for f in FIELDS))
-    return parsed.select(*keep, F.when(F.col("o.slug").isNotNull(), bare).otherwise(F.from_json(inner, _RECORD)).alias("rec")).filter("rec.slug is not null")
+    return parsed.select(*keep, F.when(F.col("o.slug").isNotNull(), bare).otherwise(F.from_json(inner, f"struct<{_RECORD}>")).alias("rec")).filter("rec.slug is not null")
 
 
 def items(text: Column) -> Column:
@@ -42,6 +42,13 @@ def items(text: Column) -> Column:
     return F.when(text.isNull() | (F.trim(text) == ""), empty).otherwise(F.coalesce(array, F.array(text)))
 
 
-def member(element: Column, name: str) -> Column:
-    """`name` of an element that is an object; an element that is none stands for it itself."""
-    return F.when(element.startswith("{"), F.get_json_object(element, f"$.{name}")).otherwise(element)
+def objects(text: Column, *names: str) -> Column:
+    """Elements, as structs of text fields, of a field like those of `items`.
+
+    An element that is no object stands for its first field. Arrays of nothing
+    but objects and nulls, or a lone object, open in one parse; only others go element by element.
+    """
+    shape = f"struct<{', '.join(f'{n}: string' for n in names)}>"
+    lone = lambda e: F.struct(e.alias(names[0]), *(F.lit(None).cast("string").alias(n) for n in names[1:]))
+    each = F.transform(items(text), lambda e: F.when(e.startswith("{"), F.from_json(e, shape)).when(e.isNotNull(), lone(e)))
+    return F.coalesce(F.when(text.rlike(r"^\s*[\[{]"), F.from_json(text, f"array<{shape}>")), each)
