@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm import encoding, leakage, repetition
+from bindery.llm import encoding, leakage, repetition, residue
 from bindery.sources.tables import table
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.found(table(spark, folder, "detail_lines"))
+
+
+def p6_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Title and synopsis of every valid record, residue left out."""
+    return residue.clean(table(spark, folder, "detail_lines"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.encode(table(spark, folder, "documents"), "byte_bpe_50k")
 
@@ -42,7 +51,7 @@ def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     return measured.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
+QUERIES = {f.__name__: f for f in (p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _LEAKS = f"""
