@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm import encoding, leakage, repetition, residue
+from bindery.llm import encoding, leakage, lookalike, repetition, residue
 from bindery.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.pairs(table(spark, folder, "komik"))
+
+
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts that share their look with others: how many there are, and the least and greatest."""
+    rows = lookalike.fields_of(table(spark, folder, "komik"), "id", ("judul", "alternative_title"))
+    return lookalike.variants(rows).groupBy("fld", "look").agg(F.count(F.lit(1)).alias("n_texts"), F.min("text").alias("least"), F.max("text").alias("greatest")).drop("look")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.found(table(spark, folder, "detail_lines"))
 
@@ -51,8 +61,17 @@ def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     return measured.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
 
+_NARROW = {chr(c): lookalike._width(chr(c)) for c in range(0xFF01, 0xFFDD) if lookalike._width(chr(c))}
+_FROM = "".join(o for others in lookalike.LETTERS.values() for o in others) + "".join(_NARROW)
+_TO = "".join(a * len(others) for a, others in lookalike.LETTERS.items()) + "".join(_NARROW.values())
+_LOOKS = rf"""
+WITH f AS (SELECT id, 'judul' AS fld, judul AS t FROM komik UNION SELECT id, 'alternative_title', alternative_title FROM komik),
+s AS (SELECT id, fld, t, nfc_normalize(translate(regexp_replace(t, '[\p{{Cf}}\x{{034F}}]', '', 'g'), '{_FROM.replace("'", "''")}', '{_TO.replace("'", "''")}')) AS n FROM f),
+l AS (SELECT id, fld, t, trim(regexp_replace(n, '[\s\p{{Z}}]+', ' ', 'g')) AS look FROM s),
+v AS (SELECT * FROM l WHERE look <> '')
+"""
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _LEAKS = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
@@ -69,6 +88,8 @@ c AS (SELECT doc_id, count(DISTINCT p) AS covered FROM (SELECT doc_id, unnest(ra
 s AS (SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CASE WHEN coalesce(len(w), 0) > 0 THEN coalesce(covered, 0) / len(w) END AS share FROM d LEFT JOIN c USING (doc_id))
 """
 ORACLE = {
+    "p1_found": _LOOKS + "SELECT DISTINCT a.fld, a.id AS id_a, b.id AS id_b FROM v a JOIN v b ON a.fld = b.fld AND a.look = b.look AND a.id < b.id AND a.t <> b.t",
+    "p1_classes": _LOOKS + "SELECT fld, count(DISTINCT t) AS n_texts, min(t) AS least, max(t) AS greatest FROM v GROUP BY fld, look HAVING count(DISTINCT t) > 1",
     "p8_roundtrip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p9_found": _LEAKS + "SELECT doc_id, item_id FROM f",
     "p9_items": _LEAKS + "SELECT item_id, count(*) AS n_docs FROM f GROUP BY 1",
