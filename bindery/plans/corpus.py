@@ -97,20 +97,20 @@ r AS (SELECT line_id, fetched_at, CASE WHEN j->>'$.slug' IS NOT NULL THEN j WHEN
 
 
 def _opened(child: str) -> str:
-    """CTE `<child>`: (line_id, fetched_at, pos, e) of the elements of an array field."""
+    """CTE `x_<child>`: (line_id, fetched_at, pos, e) of the elements of an array field."""
     return f"""
 {child}_t AS (SELECT line_id, fetched_at, CASE WHEN json_type(d->'$.{child}') = 'VARCHAR' AND json_valid(d->>'$.{child}') THEN CAST(d->>'$.{child}' AS JSON) ELSE d->'$.{child}' END AS x FROM r),
 {child}_a AS (SELECT line_id, fetched_at, CASE WHEN x IS NULL OR json_type(x) = 'NULL' THEN CAST([] AS JSON[]) WHEN json_type(x) = 'ARRAY' THEN CAST(x AS JSON[]) ELSE [x] END AS l FROM {child}_t),
-{child} AS (SELECT line_id, fetched_at, unnest(range(len(l))) AS pos, unnest(l) AS e FROM {child}_a)
+x_{child} AS (SELECT line_id, fetched_at, unnest(range(len(l))) AS pos, unnest(l) AS e FROM {child}_a)
 """
 
 
-_CHAPTERS = "SELECT line_id, 'chapters' AS child, CAST(-1 AS INT) AS parent_pos, CAST(pos AS INT) AS pos, e->>'$.url' AS child_key FROM chapters WHERE json_type(e) = 'OBJECT'"
+_CHAPTERS = "SELECT line_id, 'chapters' AS child, CAST(-1 AS INT) AS parent_pos, CAST(pos AS INT) AS pos, e->>'$.url' AS child_key FROM x_chapters WHERE json_type(e) = 'OBJECT'"
 _P7 = (
     _RECORDS
     + _opened("similar")
     + """,
-s AS (SELECT line_id, fetched_at, CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END AS k FROM similar WHERE json_type(e) <> 'NULL'),
+s AS (SELECT line_id, fetched_at, CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END AS k FROM x_similar WHERE json_type(e) <> 'NULL'),
 p AS (SELECT slug, min(created_at) AS c FROM komik WHERE slug IS NOT NULL GROUP BY 1),
 f AS (SELECT 'similar' AS rel, line_id AS parent_id, k AS ref_key,
         CASE WHEN p.slug IS NULL THEN CASE WHEN k IN (SELECT slug FROM komik_deleted WHERE slug IS NOT NULL) THEN 'deleted' ELSE 'missing' END WHEN c > fetched_at THEN 'late' END AS why, strftime(fetched_at, '%Y-%m') AS ym
@@ -126,10 +126,10 @@ ORACLE = {
     "p3_chapters": _RECORDS + _opened("chapters") + _CHAPTERS,
     "p3_found": _RECORDS
     + ",".join(_opened(c) for c in ("chapters", "similar", "genre_ids"))
-    + ", i AS (SELECT line_id, pos AS parent_pos, unnest(range(len(l))) AS pos, unnest(l) AS e FROM (SELECT line_id, pos, CAST(e->'$.image_filenames' AS JSON[]) AS l FROM chapters WHERE json_type(e->'$.image_filenames') = 'ARRAY')) "
+    + ", i AS (SELECT line_id, pos AS parent_pos, unnest(range(len(l))) AS pos, unnest(l) AS e FROM (SELECT line_id, pos, CAST(e->'$.image_filenames' AS JSON[]) AS l FROM x_chapters WHERE json_type(e->'$.image_filenames') = 'ARRAY')) "
     + _CHAPTERS
-    + """ UNION ALL SELECT line_id, 'similar', -1, CAST(pos AS INT), CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END FROM similar WHERE json_type(e) <> 'NULL'
-UNION ALL SELECT line_id, 'genre_ids', -1, CAST(pos AS INT), e->>'$' FROM genre_ids WHERE json_type(e) <> 'NULL'
+    + """ UNION ALL SELECT line_id, 'similar', -1, CAST(pos AS INT), CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END FROM x_similar WHERE json_type(e) <> 'NULL'
+UNION ALL SELECT line_id, 'genre_ids', -1, CAST(pos AS INT), e->>'$' FROM x_genre_ids WHERE json_type(e) <> 'NULL'
 UNION ALL SELECT line_id, 'image_filenames', CAST(parent_pos AS INT), CAST(pos AS INT), e->>'$' FROM i WHERE json_type(e) <> 'NULL'""",
     "p5_found": _STATE + "SELECT rel, snapshot_no, rec_id, delta FROM f",
     "p5_counts": _STATE + "SELECT rel, snapshot_no, delta, count(*) AS n FROM f GROUP BY ALL",
