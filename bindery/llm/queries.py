@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm import encoding, leakage, lookalike, repetition, residue
+from bindery.llm import encoding, leakage, lookalike, names, repetition, residue
 from bindery.sources.tables import table
 
 
@@ -19,6 +19,20 @@ def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.variants(rows).groupBy("fld", "look").agg(F.count(F.lit(1)).alias("n_texts"), F.min("text").alias("least"), F.max("text").alias("greatest")).drop("look")
 
 
+def _variants(spark: SparkSession, folder: str) -> DataFrame:
+    return names.variants(table(spark, folder, "komik"), table(spark, folder, "nicknames"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.pairs(_variants(spark, folder))
+
+
+def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every spelling with others, its group and the group's number of spellings."""
+    labelled = _variants(spark, folder)
+    return labelled.join(labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n_spellings")), "label")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.found(table(spark, folder, "detail_lines"))
 
@@ -61,7 +75,7 @@ def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     return measured.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p2_found, p2_groups, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
 
 _NARROW = {chr(c): lookalike._width(chr(c)) for c in range(0xFF01, 0xFFDD) if lookalike._width(chr(c))}
 _FROM = "".join(o for others in lookalike.LETTERS.values() for o in others) + "".join(_NARROW)
