@@ -13,6 +13,11 @@ def or_null(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at the edges."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """The group of the first match; null without one."""
     return or_null(F.regexp_extract(text, pattern, group))
@@ -98,21 +103,21 @@ def masked_url(url: Column) -> Column:
 
 def title(text: Column, site: Site = Site()) -> Column:
     """Without the site's word at the start (also within a longer word), trimmed."""
-    return F.trim(F.regexp_replace(text, rf"(?i)^{site.title_prefix}\s*", ""))
+    return strip(F.regexp_replace(text, rf"(?i)^{site.title_prefix}\s*", ""))
 
 
 def synopsis(text: Column, site: Site = Site()) -> Column:
     bare = F.regexp_replace(text, rf"(?is)^Update chapter terbaru {site.title_prefix}.*?Sinopsis\s*", "")
-    return F.trim(F.regexp_replace(bare, r"^(Manga|Manhwa|Manhua)\s+", ""))
+    return strip(F.regexp_replace(bare, r"^(Manga|Manhwa|Manhua)\s+", ""))
 
 
 def after_label(text: Column) -> Column:
     """What follows the first colon, else the text; trimmed."""
-    return F.trim(F.when(text.contains(":"), F.regexp_extract(text, r"(?s)^[^:]*:(.*)$", 1)).otherwise(text))
+    return strip(F.when(text.contains(":"), F.regexp_extract(text, r"(?s)^[^:]*:(.*)$", 1)).otherwise(text))
 
 
 def comma_list(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: strip(x)), lambda x: x != "")
 
 
 def titled(text: Column, slug: Column) -> Column:

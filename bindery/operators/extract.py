@@ -13,11 +13,14 @@ from bindery.functions.dims import Site, status_id
 from bindery.operators.dom import all_of, attr, first_attr, first_of, first_text, text, with_dom
 from bindery.runtime import let
 
-_D = F.col("dom")
 _CHAPTER = "array<struct<number:double,url:string>>"
 _IMAGE = "array<struct<domain_id:smallint,path:string>>"
 
 
+def _dom() -> Column:
+    return F.col("dom")
+
+
 def _first_distinct(items: Column, key: str) -> Column:
     """Structs whose key no earlier one has; null keys go."""
     known = F.filter(items, lambda x: x[key].isNotNull())
@@ -30,8 +33,8 @@ def _hrefs(nodes: Column) -> Column:
 
 def list_slugs(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:
     """(key, pos, slug): distinct slugs of a list page in document order; `a.tip`, else any link to a series."""
-    tips = all_of(_D, "a.tip")
-    links = F.when(F.size(tips) > 0, tips).otherwise(all_of(_D, f"a[href*='{site.series_path}']"))
+    tips = all_of(_dom(), "a.tip")
+    links = F.when(F.size(tips) > 0, tips).otherwise(all_of(_dom(), f"a[href*='{site.series_path}']"))
     found = F.transform(_hrefs(links), lambda h: F.struct(F.when(h.contains(site.series_path), S.slug_of(h, site)).alias("slug")))
     return with_dom(pages).select(key, F.posexplode(_first_distinct(found, "slug")).alias("pos", "s")).select(key, "pos", "s.slug")
 
@@ -41,8 +44,8 @@ def _kind(node: Column) -> Column:
 
 
 def _thumbnail(site: Site) -> Column:
-    src = F.coalesce(*(first_attr(_D, "src", c, "img") for c in ("div.infoanime", "div.thumb", "div.itemprop")))
-    marked = F.get(F.filter(F.transform(all_of(_D, "img[itemprop='image']"), lambda n: attr(n, "src")), lambda s: F.lower(s).contains(f"/{site.title_prefix}-")), F.lit(0))
+    src = F.coalesce(*(first_attr(_dom(), "src", c, "img") for c in ("div.infoanime", "div.thumb", "div.itemprop")))
+    marked = F.get(F.filter(F.transform(all_of(_dom(), "img[itemprop='image']"), lambda n: attr(n, "src")), lambda s: F.lower(s).contains(f"/{site.title_prefix}-")), F.lit(0))
     return let(F.coalesce(src, marked), lambda u: S.thumbnail(u, site))
 
 
@@ -50,11 +53,11 @@ def _labelled() -> Column:
     """array(struct(label, value)) of the spans with a bold label in the info block."""
 
     def one(span: Column) -> Column:
-        bold = F.get(F.filter(F.slice(_D["nodes"], span["pre"] + 2, span["last"] - span["pre"]), lambda n: n["tag"] == "b"), F.lit(0))
-        of = lambda b: F.when(b.isNotNull(), F.struct(F.lower(F.rtrim(text(_D, b), F.lit(":"))).alias("label"), F.trim(F.replace(text(_D, span), text(_D, b), F.lit(""))).alias("value")))
+        bold = F.get(F.filter(F.slice(_dom()["nodes"], span["pre"] + 2, span["last"] - span["pre"]), lambda n: n["tag"] == "b"), F.lit(0))
+        of = lambda b: F.when(b.isNotNull(), F.struct(F.lower(F.rtrim(text(_dom(), b), F.lit(":"))).alias("label"), F.trim(F.replace(text(_dom(), span), text(_dom(), b), F.lit(""))).alias("value")))
         return let(bold, of)
 
-    return F.filter(F.transform(all_of(_D, "span", first_of(_D, "div.spe")), one), lambda x: x.isNotNull())
+    return F.filter(F.transform(all_of(_dom(), "span", first_of(_dom(), "div.spe")), one), lambda x: x.isNotNull())
 
 
 # Words of the labels; the first group that a label contains decides.
@@ -78,12 +81,12 @@ def _info(name: str, first: bool = False) -> Column:
 
 
 def _rating() -> Column:
-    return F.coalesce(*(S.number(first_text(_D, c, "i")) for c in ("div.archiveanime-rating", "div.infoanime-rating", "div.rating")), S.number(first_text(_D, "span.skor")))
+    return F.coalesce(*(S.number(first_text(_dom(), c, "i")) for c in ("div.archiveanime-rating", "div.infoanime-rating", "div.rating")), S.number(first_text(_dom(), "span.skor")))
 
 
 def _synopsis(site: Site) -> Column:
     chain = (("div.entry-content.entry-content-single",), ("div.entry-content",), ("div#sinopsis", "div.entry-content"))
-    return F.coalesce(*(S.or_null(S.synopsis(first_text(_D, *c), site)) for c in chain))
+    return F.coalesce(*(S.or_null(S.synopsis(first_text(_dom(), *c), site)) for c in chain))
 
 
 def _chapters(site: Site) -> Column:
@@ -91,33 +94,33 @@ def _chapters(site: Site) -> Column:
     marked = f"a[href*='{site.chapter_mark}']"
 
     def of(links: Column) -> Column:
-        rows = F.transform(links, lambda n: F.struct(S.rooted(F.nullif(attr(n, "href"), F.lit("")), site).alias("url"), text(_D, n).alias("t")))
+        rows = F.transform(links, lambda n: F.struct(S.rooted(F.nullif(attr(n, "href"), F.lit("")), site).alias("url"), text(_dom(), n).alias("t")))
         numbered = F.transform(_first_distinct(rows, "url"), lambda r: F.struct(S.chapter_number(r["t"], r["url"]).alias("number"), r["url"].alias("url")))
         return F.filter(numbered, lambda r: r["number"].isNotNull())
 
     def within(container: str) -> list[Column]:
-        box = first_of(_D, container)
-        spans = all_of(_D, "span.lchx", box)
-        inner = F.flatten(F.transform(spans, lambda s: F.filter(F.slice(_D["nodes"], s["pre"] + 2, s["last"] - s["pre"]), lambda n: n["tag"] == "a")))
-        return [of(all_of(_D, marked, box)), of(inner)]
+        box = first_of(_dom(), container)
+        spans = all_of(_dom(), "span.lchx", box)
+        inner = F.flatten(F.transform(spans, lambda s: F.filter(F.slice(_dom()["nodes"], s["pre"] + 2, s["last"] - s["pre"]), lambda n: n["tag"] == "a")))
+        return [of(all_of(_dom(), marked, box)), of(inner)]
 
-    tries = [*within("div.bxcl"), *within("div#chapter_list"), of(all_of(_D, marked))]
+    tries = [*within("div.bxcl"), *within("div#chapter_list"), of(all_of(_dom(), marked))]
     found = F.coalesce(*(let(t, lambda a: F.when(F.size(a) > 0, a)) for t in tries), F.array().cast(_CHAPTER))
     placed = F.transform(found, lambda r, i: F.struct((-r["number"]).alias("k"), i.alias("i"), r["number"].alias("number"), r["url"].alias("url")))
     return F.transform(F.array_sort(placed), lambda r: F.struct(r["number"].alias("number"), r["url"].alias("url")))
 
 
 def _similar(site: Site) -> Column:
-    nodes_in = lambda n: F.slice(_D["nodes"], n["pre"] + 2, n["last"] - n["pre"])
+    nodes_in = lambda n: F.slice(_dom()["nodes"], n["pre"] + 2, n["last"] - n["pre"])
     head = lambda a: F.get(a, F.lit(0))
 
     def one(li: Column) -> Column:
         link = head(F.filter(nodes_in(li), lambda n: (n["tag"] == "a") & F.array_contains(n["classes"], "series")))
         h3 = head(F.filter(nodes_in(li), lambda n: n["tag"] == "h3"))
-        named = let(h3, lambda h: let(head(F.filter(nodes_in(h), lambda n: n["tag"] == "a")), lambda a: F.nullif(text(_D, a), F.lit(""))))
+        named = let(h3, lambda h: let(head(F.filter(nodes_in(h), lambda n: n["tag"] == "a")), lambda a: F.nullif(text(_dom(), a), F.lit(""))))
         return F.struct(S.slug_of(attr(link, "href"), site).alias("slug"), named.alias("judul"))
 
-    return _first_distinct(F.transform(all_of(_D, "li", first_of(_D, "div#mirip")), one), "slug")
+    return _first_distinct(F.transform(all_of(_dom(), "li", first_of(_dom(), "div#mirip")), one), "slug")
 
 
 def details(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:
@@ -127,14 +130,14 @@ def details(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:
     """
     read = with_dom(pages).filter("dom.nodes is not null")
     labelled = read.withColumn("info", F.transform(_labelled(), lambda x: F.struct(_label_of(x["label"]).alias("name"), x["value"].alias("value"))))
-    tags = [F.filter(F.transform(all_of(_D, "a[rel='tag']", first_of(_D, c)), lambda n: text(_D, n)), lambda t: t != "") for c in ("div.genre-info", "div.spe")]
+    tags = [F.filter(F.transform(all_of(_dom(), "a[rel='tag']", first_of(_dom(), c)), lambda n: text(_dom(), n)), lambda t: t != "") for c in ("div.genre-info", "div.spe")]
     some = lambda a: F.when(F.size(a) > 0, a)
     statuses = F.filter(F.transform(F.filter("info", lambda x: x["name"] == "status"), lambda x: status_id(site, x["value"])), lambda s: s.isNotNull())
-    titles = F.coalesce(first_text(_D, "h1.titless"), first_text(_D, "h1.entry-title"), first_text(_D, "div.infox", "h1"))
+    titles = F.coalesce(first_text(_dom(), "h1.titless"), first_text(_dom(), "h1.entry-title"), first_text(_dom(), "div.infox", "h1"))
     rows = labelled.select(
         key,
         S.title(titles, site).alias("judul"),
-        F.coalesce(_kind(first_of(_D, "span.typeflag")), _info("tipe", first=True)).alias("tipe"),
+        F.coalesce(_kind(first_of(_dom(), "span.typeflag")), _info("tipe", first=True)).alias("tipe"),
         _thumbnail(site).alias("thumb"),
         F.when(F.size(statuses) > 0, F.element_at(statuses, -1)).alias("status_id"),
         *(_info(n).alias(n) for n in ("author", "artist", "alternative_title")),
@@ -154,7 +157,7 @@ def chapter_images(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame
     """
     sources = lambda nodes: F.filter(F.transform(nodes, lambda n: attr(n, "src")), lambda s: S.is_content_image(s, site))
     some = lambda a: let(a, lambda x: F.when(F.size(x) > 0, x))
-    raw = F.coalesce(*(some(sources(all_of(_D, "img", first_of(_D, c)))) for c in ("div#chimg-auh", "div.chimg-auh")), sources(all_of(_D, "img")))
+    raw = F.coalesce(*(some(sources(all_of(_dom(), "img", first_of(_dom(), c)))) for c in ("div#chimg-auh", "div.chimg-auh")), sources(all_of(_dom(), "img")))
     known = F.filter(F.transform(raw, lambda u: S.split_url(u, site)), lambda p: p.isNotNull())
     read = with_dom(pages).select(key, F.coalesce(known, F.array().cast(_IMAGE)).alias("p"))
     paths, ids = F.transform("p", lambda x: x["path"]), F.transform("p", lambda x: x["domain_id"])
@@ -179,7 +182,7 @@ def with_images(chapters: DataFrame, images: DataFrame, key: str = "url") -> Dat
 
 def _cards(*paths: tuple[str, ...]) -> Column:
     some = lambda a: let(a, lambda x: F.when(F.size(x) > 0, x))
-    lists = [some(all_of(_D, p[-1], first_of(_D, *p[:-1]) if len(p) > 1 else None)) for p in paths]
+    lists = [some(all_of(_dom(), p[-1], first_of(_dom(), *p[:-1]) if len(p) > 1 else None)) for p in paths]
     return F.coalesce(*lists)
 
 
@@ -197,15 +200,15 @@ def home_updates(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:
     """(key, pos, slug, judul, latest_chapter_number, tipe, thumbnail) of a home page; the number comes from the address only."""
     rows = _card_rows(pages, key, _cards(("div.listupd", "div.animepost"), ("div.listupd", "div.bsx")))
     card = F.col("card")
-    inside = lambda selector: F.get(all_of(_D, selector, card), F.lit(0))
-    heading = let(inside("h3"), lambda h: F.get(all_of(_D, "a", h), F.lit(0)))
+    inside = lambda selector: F.get(all_of(_dom(), selector, card), F.lit(0))
+    heading = let(inside("h3"), lambda h: F.get(all_of(_dom(), "a", h), F.lit(0)))
     named = rows.withColumn("a", F.coalesce(heading, inside(f"a[href*='{site.series_path}']")))
-    limited = let(inside("div.limit"), lambda d: F.get(all_of(_D, "img", d), F.lit(0)))
+    limited = let(inside("div.limit"), lambda d: F.get(all_of(_dom(), "img", d), F.lit(0)))
     picked = named.select(
         key,
         "pos",
         S.slug_of(S.rooted(attr(F.col("a"), "href"), site), site).alias("slug"),
-        text(_D, F.col("a")).alias("judul"),
+        text(_dom(), F.col("a")).alias("judul"),
         S.number(F.regexp_extract(attr(inside(f"a[href*='{site.chapter_mark}']"), "href"), r"(?i)chapter-([\d.]+)", 1)).alias("latest_chapter_number"),
         _kind(inside("span.typeflag")).alias("tipe"),
         attr(F.coalesce(limited, inside("img")), "src").alias("thumbnail"),
@@ -220,17 +223,17 @@ def latest_feed(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:
     """
     rows = _card_rows(pages, key, _cards(("div.animepost",)))
     card = F.col("card")
-    inside = lambda selector: F.get(all_of(_D, selector, card), F.lit(0))
-    heading = let(inside("h3"), lambda h: F.get(all_of(_D, f"a[href*='{site.series_path}']", h), F.lit(0)))
+    inside = lambda selector: F.get(all_of(_dom(), selector, card), F.lit(0))
+    heading = let(inside("h3"), lambda h: F.get(all_of(_dom(), f"a[href*='{site.series_path}']", h), F.lit(0)))
     named = rows.withColumn("a", F.coalesce(heading, inside(f"a.animposx[href*='{site.series_path}']")))
-    link = let(inside("div.lsch"), lambda d: F.get(all_of(_D, f"a[href*='{site.chapter_mark}']", d), F.lit(0)))
+    link = let(inside("div.lsch"), lambda d: F.get(all_of(_dom(), f"a[href*='{site.chapter_mark}']", d), F.lit(0)))
     picked = named.select(
         key,
         "pos",
         S.slug_of(attr(F.col("a"), "href"), site).alias("slug"),
-        F.coalesce(text(_D, F.col("a")), F.lit("")).alias("judul"),
+        F.coalesce(text(_dom(), F.col("a")), F.lit("")).alias("judul"),
         S.absolute(attr(link, "href"), site).alias("chapter_url"),
-        F.coalesce(text(_D, inside("span.datech")), F.lit("")).alias("time_str"),
+        F.coalesce(text(_dom(), inside("span.datech")), F.lit("")).alias("time_str"),
     )
     kept = _first_per_page(picked, key).withColumn("chapter_number", S.url_chapter_number(F.col("chapter_url"))).filter("chapter_number is not null")
     return kept.select(key, "pos", "slug", "judul", "chapter_number", "chapter_url", S.url_base(F.col("chapter_url"), site).alias("url_base"), "time_str", S.age_minutes(F.col("time_str")).alias("minutes"))
