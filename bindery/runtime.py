@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
-
-from collections.abc import Callable
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +68,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     variable is evaluated once.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def kept(key: Hashable, make: Callable):
+    """`make()`, once in a Python process, for as long as the process lives.
+
+    Functions come to workers by value, so what a module keeps would be lost after each task.
+    """
+    store = sys.__dict__.setdefault("_bindery_kept", {})
+    if key not in store:
+        if len(store) >= 8:
+            store.pop(next(iter(store)))
+        store[key] = make()
+    return store[key]
