@@ -9,13 +9,11 @@ rest, none of which is hot, by a shuffle.
 
 from __future__ import annotations
 
-import functools
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.runtime import cut, spread
+from bindery.runtime import cut, kept, spread
 
 VOCABULARIES = "/opt/tokenizers"
 #: A word with at least this share of all words is joined by broadcast: at most 20,000 words.
@@ -25,13 +23,17 @@ _WS = r"[\p{IsWhite_Space}]"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{IsWhite_Space}}\p{{L}}\p{{N}}]+|{_WS}+(?!\P{{IsWhite_Space}})|{_WS}+"
 
 
-@functools.cache
 def tokenizer(name: str, folder: str = VOCABULARIES):
-    from tokenizers import Tokenizer
+    """The vocabulary `name`, read once in a process. Strings of special tokens are ordinary text to it."""
+
+    def load():
+        from tokenizers import Tokenizer
+
+        loaded = Tokenizer.from_file(f"{folder}/{name}.json")
+        loaded.encode_special_tokens = True
+        return loaded
 
-    loaded = Tokenizer.from_file(f"{folder}/{name}.json")
-    loaded.encode_special_tokens = True
-    return loaded
+    return kept(("tokenizer", name, folder), load)
 
 
 def encode_distinct(words: DataFrame, name: str, folder: str = VOCABULARIES) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.runtime import cut, spread
+from bindery.runtime import cut, kept, spread
 
 # Letters of other scripts (and Latin variants) that look like a Latin letter.
 LETTERS = {
@@ -113,20 +113,19 @@ def rewriting(counts: dict[str, int]) -> dict[str, str]:
     return table
 
 
-@functools.lru_cache(maxsize=4)
-def _automaton(items: tuple[tuple[str, str], ...]):
+def _automaton(table: dict[str, str]):
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
-    for pattern, to in items:
+    for pattern, to in table.items():
         automaton.add_word(pattern, (len(pattern), to))
     automaton.make_automaton()
     return automaton
 
 
-def rewrite(text: str, items: tuple[tuple[str, str], ...]) -> str:
+def rewrite(text: str, automaton) -> str:
     """The one form of a text: rewritten until nothing changes, blanks in one, none at the edges."""
-    automaton, before = _automaton(items), None
+    before = None
     while text != before:
         before, text = text, unicodedata.normalize("NFC", text)
         out, at = [], 0
@@ -145,11 +144,12 @@ def code_points(texts: DataFrame, text: str = "text") -> dict[str, int]:
 
 def one_form(table: dict[str, str]):
     """A vectorised column function from text to its one form; null stays null."""
-    items = tuple(sorted(table.items()))
+    key = ("look-alike", hash(frozenset(table.items())))
 
     @F.pandas_udf("string")
     def form(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: None if t is None else rewrite(t, items))
+        automaton = kept(key, lambda: _automaton(table))
+        return batch.map(lambda t: None if t is None else rewrite(t, automaton))
 
     return form
 
