@@ -108,8 +108,11 @@ def _doms(html: pd.Series) -> pd.DataFrame:
 
 
 def with_dom(pages: DataFrame, html: str = "html") -> DataFrame:
-    """`pages` with a column dom in place of the HTML; blank pages have no nodes."""
-    return pages.withColumn("dom", F.pandas_udf(_doms, DOM)(F.col(html))).drop(html)
+    """`pages` with a column dom in place of the HTML; blank pages have no nodes.
+
+    Told to Spark as not deterministic, so that no filter parses pages a second time.
+    """
+    return pages.withColumn("dom", F.pandas_udf(_doms, DOM).asNondeterministic()(F.col(html))).drop(html)
 
 
 # --- selectors ---------------------------------------------------------------
