@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bindery.runtime import let
+
 FIELDS = (
     "slug judul tipe thumb_domain_id thumb_path status_id author artist alternative_title sinopsis rating "
     "genre_list genre_ids chapters latest_chapter_number similar _status _error"
@@ -26,10 +28,15 @@ def records(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("line
     """
     # Within brackets, whatever follows the object is an error too.
     outer = F.from_json(F.concat(F.lit("["), F.col(line), F.lit("]")), f"array<struct<{_OUTER}>>", {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
-    parsed = lines.filter(F.col(line).rlike(r"^\s*\{")).select(*keep, outer.alias("a")).filter(F.size("a") == 1).select(*keep, F.get("a", F.lit(0)).alias("o"))
-    inner = F.coalesce(F.when(F.col("o.data").startswith("{"), F.col("o.data")), F.get_json_object("o.payload", "$.detail"))
-    bare = F.struct(*(F.col(f"o.{f}").alias(f) for f in FIELDS))
-    return parsed.select(*keep, F.when(F.col("o.slug").isNotNull(), bare).otherwise(F.from_json(inner, f"struct<{_RECORD}>")).alias("rec")).filter("rec.slug is not null")
+
+    def record(o: Column) -> Column:
+        inner = F.coalesce(F.when(o["data"].startswith("{"), o["data"]), F.get_json_object(o["payload"], "$.detail"))
+        bare = F.struct(*(o[f].alias(f) for f in FIELDS))
+        return F.when(o["slug"].isNotNull(), bare).otherwise(F.from_json(inner, f"struct<{_RECORD}>"))
+
+    # Exploding, not filtering, drops the rest: a filter on the record would parse the line once more.
+    found = let(outer, lambda a: F.when(F.size(a) == 1, F.filter(F.transform(a, record), lambda r: r["slug"].isNotNull())))
+    return lines.filter(F.col(line).rlike(r"^\s*\{")).select(*keep, F.explode(found).alias("rec"))
 
 
 def items(text: Column) -> Column:
