@@ -68,11 +68,17 @@ def encode(docs: DataFrame, name: str, key: str = "doc_id", text: str = "text",
     first = parts.join(F.broadcast(hot), "word", "left")
     found = first.filter(F.col("ids").isNotNull() | F.col("word").isNull()).select("k", "h", "pos", "ids")
     cold = first.filter(F.col("ids").isNull() & F.col("word").isNotNull()).join(rest, "word").select("k", "h", "pos", F.col("cold_ids").alias("ids"))
+    # Most words have one id: place and id go through the shuffle as one number, other words as structs.
+    single = F.size("ids") == 1
+    packed = F.when(single, F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.get("ids", F.lit(0)).cast("long")))
     grouped = found.unionByName(cold).groupBy("k", "h").agg(
-        F.sort_array(F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("pos", "ids")))).alias("parts"),
+        F.collect_list(packed).alias("singles"),
+        F.collect_list(F.when(~single, F.struct("pos", "ids"))).alias("others"),
         F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"),
     )
-    ids = F.flatten(F.transform(F.when(F.col("copies") > 1, F.array_distinct("parts")).otherwise(F.col("parts")), lambda p: p["ids"]))
+    opened = F.transform("singles", lambda x: F.struct(F.shiftright(x, 32).cast("int").alias("pos"), F.array(x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("ids")))
+    parts = F.sort_array(F.concat(opened, "others"))
+    ids = F.flatten(F.transform(F.when(F.col("copies") > 1, F.array_distinct(parts)).otherwise(parts), lambda p: p["ids"]))
     once = grouped.select(F.col("k").alias(key), ids.alias("ids"), "copies")
     return once.select(key, "ids", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
