@@ -171,7 +171,7 @@ def variants(rows: DataFrame) -> DataFrame:
     """(fld, look, text): texts that share their look with another text."""
     known = cut(looks(rows))
     several = known.groupBy("fld", "look").count().filter("count > 1").select("fld", "look")
-    return known.join(several, ["fld", "look"])
+    return known.join(several, ["fld", "look"]).select("fld", "look", "text")
 
 
 def pairs(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("judul", "alternative_title")) -> DataFrame:
@@ -181,7 +181,10 @@ def pairs(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("judul", "a
     Distinct rows, so repeated records add none. Records with null keys are left out.
     """
     rows = fields_of(df, key, fields).filter("id is not null").distinct()
-    # Only records of looks with several texts are joined; Spark splits a look that many share (skew join).
-    named = cut(rows.join(variants(rows), ["fld", "text"]).select("fld", "id", "text", "look"))
-    a, b = named.toDF("fld", "id_a", "text_a", "look"), named.toDF("fld", "id_b", "text_b", "look")
-    return a.join(b, ["fld", "look"]).filter("id_a < id_b and text_a <> text_b").select("fld", "id_a", "id_b").distinct()
+    known = cut(variants(rows))
+    # Pairs of distinct texts first, so copies of one text never meet each other.
+    a, b = known.toDF("fld", "look", "text_a"), known.toDF("fld", "look", "text_b")
+    texts = a.join(b, ["fld", "look"]).filter("text_a <> text_b").select("fld", "text_a", "text_b")
+    named = cut(rows.join(known.select("fld", "text"), ["fld", "text"], "left_semi").select("fld", "id", "text"))
+    left, right = named.toDF("fld", "id_a", "text_a"), named.toDF("fld", "id_b", "text_b")
+    return texts.join(left, ["fld", "text_a"]).join(right, ["fld", "text_b"]).filter("id_a < id_b").select("fld", "id_a", "id_b").distinct()
