@@ -20,7 +20,7 @@ NAMES = [
     *"contains_rating_float contains_chapter_number contains_year normalized_document_position".split(),
 ]
 NO_CANDIDATES = ("script", "style", "meta", "link", "noscript", "head")
-FIELDS = ("title", "synopsis", "rating", "genre", "status", "author", "artist", "alternative", "chapters")
+FIELDS = ("title", "rating", "genre", "synopsis", "alt_title", "author", "status", "similar", "chapters")
 FONTS = {"h1": 1.0, "h2": 0.8, "h3": 0.6, "h4": 0.5, "h5": 0.4, "h6": 0.3}
 
 
@@ -79,8 +79,13 @@ def vector() -> Column:
 
 
 def features(pages: DataFrame, key: str) -> DataFrame:
-    """(key, pre, pos, tag, text, features)."""
-    return elements(pages, key).select(key, F.col("n.pre").alias("pre"), "pos", F.col("n.tag").alias("tag"), F.col("t").alias("text"), vector().alias("features"))
+    """(key, pre, pos, tag, text, href, features)."""
+    return elements(pages, key).select(key, F.col("n.pre").alias("pre"), "pos", F.col("n.tag").alias("tag"), F.col("t").alias("text"), attr(F.col("n"), "href").alias("href"), vector().alias("features"))
+
+
+def padded(vector_: Column, width: int) -> Column:
+    """A vector of an older set of features, filled with zeros to `width`."""
+    return F.concat(vector_, F.array_repeat(F.lit(0.0).cast("float"), F.greatest(F.lit(width) - F.size(vector_), F.lit(0))))
 
 
 def truths(pages: DataFrame, key: str, chapter_mark: str = "-chapter-") -> DataFrame:
@@ -105,8 +110,8 @@ def truths(pages: DataFrame, key: str, chapter_mark: str = "-chapter-") -> DataF
         "genre": all_of(d, "a[rel='tag']"),
         "status": labelled("status"),
         "author": labelled("pengarang", "author"),
-        "artist": labelled("ilustrator", "artist"),
-        "alternative": labelled("alternatif", "alternative"),
+        "alt_title": labelled("alternatif", "alternative"),
+        "similar": all_of(d, "a.series", first_of(d, "div#mirip")),
         "chapters": all_of(d, f"a[href*='{chapter_mark}']"),
     }
     cells = [F.struct(F.lit(f).alias("field"), F.transform(nodes, lambda n: n["pre"]).alias("pres")) for f, nodes in found.items()]

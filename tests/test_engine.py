@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import scalars as S
 from bindery.functions.dims import Site, extension_id, status_id, status_name
-from bindery.ml import evaluate, features, model
+from bindery.ml import detect, evaluate, features, model
 from bindery.operators import dom, extract, feed, merge, read
 from bindery.plans import pipelines
 from bindery.plans.store import Store
@@ -214,7 +214,7 @@ def test_detection(spark):
     rows = features.labelled(page(spark, html.DETAIL), "page_id").collect()
     assert len(features.NAMES) == 44 and all(len(r["features"]) == 44 for r in rows)
     by = {f: sum(r["labels"][i] for r in rows) for i, f in enumerate(features.FIELDS)}
-    assert by == {"title": 1, "synopsis": 1, "rating": 1, "genre": 2, "status": 1, "author": 1, "artist": 1, "alternative": 1, "chapters": 4}
+    assert by == {"title": 1, "rating": 1, "genre": 2, "synopsis": 1, "alt_title": 1, "author": 1, "status": 1, "similar": 3, "chapters": 4}
     data = spark.createDataFrame([([float(i % 7), float(i % 3), i % 2 * 1.0], [int(i % 7 > 3), int(i % 50 == 0)], i) for i in range(600)], "features array<double>, labels array<int>, id int")
     mean, scale = model.scaler(data, 3)
     assert abs(mean[1] - 1.0) < 0.01 and scale[0] > 1
@@ -233,3 +233,16 @@ def test_detection(spark):
     assert figures["f1"] > 0.95
     assert evaluate.best_thresholds(flat.withColumn("label", F.lit(0))).first()["threshold"] == 0.5
     assert len(model.feature_weights(net, ["a", "b", "c"])) == 3
+
+
+def test_detected_fields_and_agreement(spark):
+    data = features.labelled(page(spark, html.DETAIL), "page_id")
+    mean, scale = model.scaler(data, 44)
+    many = data.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(12)))).drop("copy")
+    net = model.train(many, list(features.FIELDS), mean, scale, hidden=(32,), epochs=150, batch=64, rate=1e-2, patience=150)
+    found = {r["page_id"]: r for r in detect.details_with_model(page(spark, html.DETAIL), "page_id", net).collect()}
+    assert (found[1]["judul"], found[1]["author"], found[1]["rating"], found[1]["artist"]) == ("Menara & Kabut", "Sari Dewi", 8.5, "Budi")
+    assert found[3]["judul"] is None and len(found[1]["chapters"]) == 3
+    tally = {r["field"]: r for r in detect.agreement(page(spark, html.DETAIL), "page_id", net).collect()}
+    assert tally["title"]["n_match"] == 1 and tally["author"]["n_match"] == 1 and tally["chapters"]["n_match"] == 1
+    assert features.padded(F.array(F.lit(1.0).cast("float")), 3) is not None
