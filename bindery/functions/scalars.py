@@ -15,7 +15,7 @@ def or_null(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space of any kind at the edges."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)\A\s+|(?<!\s)\s+\z", "")
 
 
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:

@@ -153,7 +153,7 @@ def attr(node: Column, name: str) -> Column:
 
 def text(dom_: Column, node: Column) -> Column:
     """All text within a node, trimmed; null for no node."""
-    return F.regexp_replace(F.substring(dom_["text"], node["t0"] + 1, node["t1"] - node["t0"]), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.substring(dom_["text"], node["t0"] + 1, node["t1"] - node["t0"]), r"\A\s+|(?<!\s)\s+\z", "")
 
 
 def all_of(dom_: Column, selector: str, within: Column | None = None) -> Column:

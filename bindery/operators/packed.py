@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.runtime import spread
+from bindery.runtime import let, spread
 
 # Separators; the plain comma is apart because it may belong to a title.
 STRONG = r"[;|•；｜，、﹔﹐﹑､]|\r\n|[\n\r\x{0B}\x{0C}\x{85}\x{2028}\x{2029}]|(?<=\s)[/／\-‐‑‒–—―－](?=\s)"
@@ -25,12 +25,13 @@ SPACE = r"[\s\x{1c}-\x{1f}]"
 
 def _span(separators: str) -> str:
     """A quoted span between a separator (or the start) and a separator (or the end); group 3 is the span with its quotes."""
-    bodies = "|".join(f"{a}(?:[^{b}]|{b}{b})*{b}" for a, b in QUOTES)
+    # Unrolled and possessive, so that long spans neither backtrack nor recurse.
+    bodies = "|".join(f"{a}[^{b}]*+(?:{b}{b}[^{b}]*+)*+{b}" for a, b in QUOTES)
     return rf"(?U)(\A|{separators})({SPACE}*)({bodies})(?={SPACE}*(?:{separators}|\z))"
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|(?<!{SPACE}){SPACE}+\z", "")
 
 
 def _masked(text: Column, separators: str) -> Column:
@@ -48,11 +49,9 @@ def _unquote(span: Column) -> Column:
 
 def _split(text: Column, separators: str) -> Column:
     spans = F.regexp_extract_all(text, F.lit(_span(separators)), F.lit(3))
-    index = lambda part: F.try_cast(F.regexp_extract(part, f"{MARK}{OPEN}([0-9]+){CLOSE}", 1), "int") if hasattr(F, "try_cast") else F.regexp_extract(part, f"{MARK}{OPEN}([0-9]+){CLOSE}", 1).try_cast("int")
-    restored = F.transform(
-        F.split(_masked(text, separators), rf"(?U){separators}", -1),
-        lambda part: F.when(part.contains(MARK + OPEN), _unquote(F.get(spans, index(part)))).otherwise(part),
-    )
+    index = lambda part: F.regexp_extract(part, f"{MARK}{OPEN}([0-9]+){CLOSE}", 1).try_cast("int")
+    parts = F.split(_masked(text, separators), rf"(?U){separators}", -1)
+    restored = let(spans, lambda s: F.transform(parts, lambda part: F.when(part.contains(MARK + OPEN), _unquote(F.get(s, index(part)))).otherwise(part)))
     plain = F.transform(restored, lambda value: _strip(F.replace(value, F.lit(MARK + LITERAL), F.lit(MARK))))
     return F.filter(plain, lambda value: F.char_length(value) > 0)
 
