@@ -59,7 +59,8 @@ def encode(docs: DataFrame, name: str, key: str = "doc_id", text: str = "text",
     text hash, and counted. Other columns of `docs` are not read.
     """
     rows = spread(docs).select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    parts = rows.select("k", F.xxhash64("t").alias("h"), F.posexplode_outer(split(F.col("t"))).alias("pos", "word"))
+    # The hash is made below the explode, once for a text.
+    parts = rows.withColumn("h", F.xxhash64("t")).select("k", "h", F.posexplode_outer(split(F.col("t"))).alias("pos", "word"))
     counted = cut(rows.select(F.explode(split(F.col("t"))).alias("word")).groupBy("word").count())
     total = counted.agg(F.sum("count")).first()[0] or 0
     table = cut(encode_distinct(counted.select("word"), name, folder).join(counted, "word"))

@@ -23,7 +23,9 @@ SALT = 16
 def fingerprints(hashes: Column, window: int) -> Column:
     """Structs (h, at) of the least hash of each window, each place once."""
     placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at")))
-    return let(placed, lambda all_: F.array_distinct(F.transform(starts(all_, window), lambda i: F.array_min(F.slice(all_, i + 1, window)))))
+    # The first least hash never moves back, so a place that is chosen again is chosen by the next window.
+    chosen = let(placed, lambda all_: F.transform(starts(all_, window), lambda i: F.array_min(F.slice(all_, i + 1, window))))
+    return let(chosen, lambda c: F.filter(c, lambda x, i: (i == 0) | (F.get(c, i - 1)["at"] != x["at"])))
 
 
 def _prints(df: DataFrame, key: str, text: str, span: int, gram: int, name: str) -> DataFrame:

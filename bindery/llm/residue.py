@@ -39,14 +39,13 @@ WHOLE_GRAMMARS = [
     rf"\[{_NAME} here\]",
     r"%[sd]|\$\d|\{\d*\}|\{\{\s*\}\}",
 ]
-# What a script prints for a missing value.
-_MISSING = r"(?:undefined|null|none|nan|nil|\[object object\])"
-MISSING = rf"{_MISSING}(?:[\s,;:/|\-–—]+{_MISSING})*"
+# What a script prints for a missing value, and filler words; a field of nothing else, however long, is residue.
+MISSING_WORDS = ("undefined", "null", "none", "nan", "nil", "object")
+FILLER_WORDS = ("asdf", "qwerty", "foo", "bar", "baz", "blah", "bla", "xxx", "abc")
+TEST_WORDS = ("test", "testing", "tes")
 # Filler and stand-in remarks.
 STAND_INS = [
     r"lorem ipsum\b.*|(?:dolor sit amet)\b.*",
-    r"test(?:[\s,.\-]+test(?:ing)?)+|testing(?: \d+)*",
-    r"(?:asdf|qwerty|foo|bar|blah|bla|xxx+|abc)(?:[\s,.]+(?:asdf|qwerty|foo|bar|baz|blah|bla|xxx+|abc))*",
     r"(?:sample|dummy|placeholder|example) (?:text|title|content|description|synopsis)",
     r"(?:your|enter|insert|add|type|write) (?:your |a |the )?(?:text|title|name|content|description|synopsis|summary)(?: goes)?(?: here)?",
     r"(?:contoh|tes) (?:judul|teks|sinopsis|deskripsi)",
@@ -103,9 +102,28 @@ TUTORIAL = r"(?i)\b(?:template|templat|sintaks|syntax|placeholder|tutorial|varia
 CODE = r"(?is)```.*?```|`[^`]*`|<(?:code|pre)\b.*?</(?:code|pre)>|\"[^\"\n]{0,60}\"|'(?:[^'\n]{0,60})'|“[^”\n]{0,60}”"
 
 EMBEDDED = "|".join(f"(?:{g})" for g in GRAMMARS.values())
-_SENTENCE = "|".join([*(f"(?:{s})" for s in STAND_INS), *(f"(?:{_OPEN}{e}{_TAIL})" for e in ERRORS), *(f"(?:{_OPEN}{n}{_TAIL})" for n in NOTICES), MISSING])
-WHOLE = rf"(?isU)\A[\s\W&&[^\[{{<%$#@&]]*(?:(?:{_SENTENCE})[\s.!…:;,]*)+\z"
-PLACED = rf"(?sU)\A\s*(?:(?:{EMBEDDED}|{'|'.join(f'(?:{g})' for g in WHOLE_GRAMMARS)})[\s.,;:\-–—/|]*)+\z"
+_SENTENCE = "|".join([*(f"(?:{s})" for s in STAND_INS), *(f"(?:{_OPEN}{e}{_TAIL})" for e in ERRORS), *(f"(?:{_OPEN}{n}{_TAIL})" for n in NOTICES)])
+# A few sentences at most: repeated ones are told once before (see `residue`), so no text makes the pattern loop.
+WHOLE = rf"(?isU)\A[\s\W&&[^\[{{<%$#@&]]*+(?:(?:{_SENTENCE})[\s.!…:;,]*+){{1,6}}\z"
+PLACED = f"(?s)(?:{EMBEDDED}|{'|'.join(f'(?:{g})' for g in WHOLE_GRAMMARS)})"
+
+
+def _only_words(t: Column) -> Column:
+    """Whether the field is nothing but printed missing values, filler words, or several times 'test'."""
+    found = let(F.regexp_extract_all(F.lower(t), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.struct(F.size(w).alias("n"), F.array_distinct(F.transform(w, lambda x: F.regexp_replace(x, "^x{3,}$", "xxx"))).alias("kinds")))
+    all_in = lambda kinds, words: F.size(F.array_except(kinds, F.array(*map(F.lit, words)))) == 0
+    plain = t.rlike(r"(?s)^[\w\s,.;:/|\-–—!\[\]]*$")
+
+    def told(f: Column) -> Column:
+        missing = all_in(f["kinds"], MISSING_WORDS) & (~F.array_contains(f["kinds"], "object") | t.rlike(r"(?i)\[object object\]"))
+        return (f["n"] > 0) & (missing | all_in(f["kinds"], FILLER_WORDS) | ((f["n"] > 1) & all_in(f["kinds"], TEST_WORDS)))
+
+    return plain & let(found, told)
+
+
+def _once(t: Column) -> Column:
+    """A long text with each of its sentences told once."""
+    return F.when(F.char_length(t) <= 500, t).otherwise(F.array_join(F.array_distinct(F.split(t, r"(?<=[.!?\n])\s+")), " "))
 
 
 def residue(text: Column) -> Column:
@@ -119,8 +137,9 @@ def residue(text: Column) -> Column:
         return (left > 0) & (left >= shown) & ~((shown > 0) & t.rlike(TUTORIAL))
 
     def judged(t: Column) -> Column:
-        blank = F.trim(t) == ""
-        return ~blank & (t.rlike(PLACED) | t.rlike(WHOLE) | (t.rlike(EMBEDDED) & within(t)))
+        blank = ~t.rlike(r"(?U)\S")
+        placed = t.rlike(PLACED) & F.regexp_replace(t, PLACED, "").rlike(r"(?U)\A[\s.,;:\-–—/|]*\z")
+        return ~blank & (placed | _only_words(t) | let(_once(t), lambda o: o.rlike(WHOLE)) | (t.rlike(EMBEDDED) & within(t)))
 
     return F.coalesce(let(text, judged), F.lit(False))
 
