@@ -14,6 +14,7 @@ nothing grows with the square of a frequent token.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
@@ -90,6 +91,8 @@ def _similar(a: list[str], b: list[str], df: dict[str, int], total: int) -> floa
     """Weighted similarity of the best alignment; 0 if a token of either stays alone (but for initials)."""
     if len(a) > len(b):
         a, b = b, a
+    if sorted(a) == sorted(b):
+        return 1.0
     best = [0.0]
 
     def go(i: int, left: tuple[str, ...], got: float, of: float) -> None:
@@ -98,7 +101,7 @@ def _similar(a: list[str], b: list[str], df: dict[str, int], total: int) -> floa
                 best.append(got / of if of else 0.0)
             return
         for j, y in enumerate(left):
-            if s := _alike(a[i], y, df):
+            if y not in left[:j] and (s := _alike(a[i], y, df)):
                 # An abbreviation weighs what it may stand for; else the commoner of the two shows the rarity.
                 w = math.log(1 + total / max(df[a[i]], df[y]))
                 go(i + 1, left[:j] + left[j + 1 :], got + w * s, of + w)
@@ -140,18 +143,24 @@ def _full_forms(spelled: DataFrame, nicknames: DataFrame, given: str, short: str
     return whole.select("name", F.explode(_combined(F.col("all"))).alias("ts"))
 
 
-def _meeting(parts: DataFrame, up: DataFrame) -> DataFrame:
-    """(name, ts, df, w, key): each full spelling under every row of its tokens, each as it is or as a more frequent near one.
+def _places(spelled: DataFrame, up: DataFrame) -> DataFrame:
+    """(name, ts, places): each place's token as it is, then its more frequent near ones."""
+    choices = spelled.select("name", "ts", F.posexplode("ts").alias("at", "token")).join(up, "token", "left")
+    either = choices.groupBy("name", "ts", "at").agg(F.array_union(F.array(F.first("token")), F.collect_set("upper")).alias("any"))
+    whole = either.groupBy("name", "ts").agg(F.sort_array(F.collect_list(F.struct("at", "any"))).alias("all"))
+    return whole.select("name", "ts", F.col("all.any").alias("places"))
+
+
+def _meeting(places: DataFrame) -> DataFrame:
+    """(name, ts, key): each spelling under every row of its tokens, each as it is or as a more frequent near one.
 
     Two spellings whose tokens correspond by at most one error each share a key:
     the more frequent of the two tokens at every place. Keys hold all tokens, so a
     frequent token, or a third of all spellings that have it, makes no large group.
+    Short tokens have no near ones and stay as they are.
     """
-    choices = parts.select("name", "ts", F.posexplode("ts").alias("at", "token")).join(up, "token", "left")
-    either = choices.groupBy("name", "ts", "at").agg(F.array_union(F.array(F.first("token")), F.collect_set("upper")).alias("any"))
-    whole = either.groupBy("name", "ts").agg(F.sort_array(F.collect_list(F.struct("at", "any"))).alias("all"))
-    keys = _combined(F.col("all"))
-    return whole.select("name", "ts", F.explode(F.array_distinct(F.transform(keys, lambda k: F.array_join(F.array_sort(k), " ")))).alias("key"))
+    keys = _combined(F.transform("places", lambda p: F.struct(p.alias("any"))))
+    return places.select("name", "ts", F.explode(F.array_distinct(F.transform(keys, lambda k: F.array_join(F.array_sort(k), " ")))).alias("key"))
 
 
 def _combined(places: Column) -> Column:
@@ -177,9 +186,9 @@ def variants(df: DataFrame, nicknames: DataFrame, fields: tuple[str, ...] = ("au
     known = near_tokens(counts.select("token")).toDF("token", "upper").join(counts, "token").join(counts.toDF("upper", "df_up"), "upper")
     higher = known.filter("df_up > df or (df_up = df and upper < token)")
     up = cut(higher.select("token", "upper"))
-    full = spelled.filter(F.forall("ts", lambda t: F.char_length(t) > 3))
-    weighed = full.select("name", "ts", F.explode("ts").alias("token")).join(counts, "token").groupBy("name", "ts").agg(F.map_from_entries(F.collect_set(F.struct("token", "df"))).alias("dfs"))
-    met = cut(_meeting(full, up).join(weighed, ["name", "ts"]))
+    weighed = spelled.select("name", "ts", F.explode("ts").alias("token")).join(counts, "token").groupBy("name", "ts").agg(F.map_from_entries(F.collect_set(F.struct("token", "df"))).alias("dfs"))
+    places = cut(_places(spelled, up))
+    met = cut(_meeting(places).join(weighed, ["name", "ts"]))
 
     @F.pandas_udf("double")
     def similarity(ta: pd.Series, tb: pd.Series, da: pd.Series, db: pd.Series) -> pd.Series:
@@ -187,41 +196,141 @@ def variants(df: DataFrame, nicknames: DataFrame, fields: tuple[str, ...] = ("au
 
     side = lambda s: met.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("name", "ts", "dfs")))
     candidates = side("a").join(side("b"), "key").filter("name_a < name_b").drop("key").dropDuplicates(["name_a", "name_b", "ts_a", "ts_b"])
-    links = candidates.filter(similarity("ts_a", "ts_b", "dfs_a", "dfs_b") >= least).select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
-    whole = groups(links)
-    short_forms = _abbreviated(spelled, full, whole, up)
-    return whole.unionByName(short_forms).groupBy("name").agg(F.min("label").alias("label"))
+    links = cut(candidates.filter(similarity("ts_a", "ts_b", "dfs_a", "dfs_b") >= least).select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), _shorts(F.col("ts_a")).alias("k")))
+    return _abbreviated(places, links, counts).groupBy("name").agg(F.min("label").alias("label"))
+
+
+def _shorts(ts: Column) -> Column:
+    """How many tokens of a spelling have at most three letters. Short tokens have no near ones, so spellings that meet have the same."""
+    return F.size(F.filter(ts, lambda t: F.char_length(t) <= 3))
 
 
-def _abbreviated(spelled: DataFrame, full: DataFrame, whole: DataFrame, up: DataFrame) -> DataFrame:
-    """(name, label) of spellings with an initial or beginning, and of lone full spellings that they join.
+def _asked(places: list[list[str]]) -> list[tuple[list[str], list[str], int]]:
+    """(anchor, shorts, cost): what a spelling with short tokens asks of a fuller one.
+
+    The anchor is its long tokens, each as it is or as a near one (cost 1). Of short
+    tokens only, each of two letters or more is the anchor in turn. An initial (at most
+    two letters) may be left out (cost 10) if two tokens remain; of more than ten
+    initials, all or none.
+    """
+    long, short = [p for p in places if len(p[0]) > 3], sorted(p[0] for p in places if len(p[0]) <= 3)
+    if long:
+        anchors = [(sorted(c), sum(x != p[0] for x, p in zip(c, long)), short) for c in itertools.product(*long)]
+    else:
+        anchors = [([t], 0, short[:i] + short[i + 1 :]) for i, t in enumerate(short) if len(t) > 1]
+    found = {}
+    for anchor, cost, rest in anchors:
+        initials = [i for i, t in enumerate(rest) if len(t) <= 2]
+        counts = range(len(initials) + 1) if len(initials) <= 10 else (0, len(initials))
+        for gone in itertools.chain.from_iterable(itertools.combinations(initials, n) for n in counts):
+            kept = [t for i, t in enumerate(rest) if i not in gone]
+            if len(anchor) + len(kept) >= 2:
+                key = (tuple(anchor), tuple(kept))
+                found[key] = min(found.get(key, 10_000), cost + 10 * len(gone))
+    return [(list(a), list(k), c) for (a, k), c in found.items()]
+
+
+def _fits(short: list[str], rest: list[str]) -> bool:
+    """Whether each of `short` is one of the short tokens of `rest` or begins a long one, and none is left over."""
+    left = sorted(short, key=len, reverse=True)
+    for t in rest:
+        if len(t) <= 3:
+            if t not in left:
+                return False
+            left.remove(t)
+    long = [t for t in rest if len(t) > 3]
+    # Tokens that a beginning fits lie within those of a shorter beginning or apart from them, so the longest first is best.
+    for h in left:
+        if (t := next((t for t in long if t.startswith(h)), None)) is None:
+            return False
+        long.remove(t)
+    return not long
+
+
+def _offered(places: list[list[str]], anchor: list[str], asked: list[int], deep: list[list[str]]) -> list[tuple[list[str], int]]:
+    """(shorts, cost): the short tokens with which the anchor may stand for this spelling; many at once are only tried, not listed."""
+    states = {tuple(sorted(map(tuple, places))): 0}
+    for token in anchor:
+        after: dict = {}
+        for state, cost in states.items():
+            for p in {p for p in state if token in p}:
+                i = state.index(p)
+                left = state[:i] + state[i + 1 :]
+                after[left] = min(after.get(left, 10_000), cost + (token != p[0]))
+        states = after
+    found: dict = {}
+    for state, cost in states.items():
+        rest = [p[0] for p in state]
+        if len(rest) not in asked:
+            continue
+        if len(rest) <= 3:
+            heads = itertools.product(*([t] if len(t) <= 3 else [t[:1], t[:2], t[:3]] for t in rest))
+            shorts = [tuple(sorted(h)) for h in heads]
+        else:
+            shorts = [tuple(d) for d in deep if len(d) == len(rest) and _fits(d, rest)]
+        for x in shorts:
+            found[x] = min(found.get(x, 10_000), cost)
+    return [(list(x), c) for x, c in found.items()]
+
+
+def _abbreviated(places: DataFrame, links: DataFrame, counts: DataFrame) -> DataFrame:
+    """(name, label) of all groups: of links, and of spellings with initials or beginnings and the fuller spellings that they join.
+
+    Fuller spellings are aggregated by the tokens kept and the beginnings of the others
+    to their least and greatest label; a spelling fits one group if these are equal.
+    Tokens that are as written come before near ones. Spellings with fewer short tokens
+    get their labels first.
+    """
 
-    Full spellings are aggregated by surname and beginning to their least and
-    greatest label; a beginning fits one group if these are equal. Tokens that are as
-    written come before near ones.
+    @F.pandas_udf("array<struct<anchor: array<string>, shorts: array<string>, cost: int>>")
+    def asking(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda p: [{"anchor": a, "shorts": s, "cost": c} for a, s, c in _asked([list(x) for x in p])])
+
+    @F.pandas_udf("array<struct<shorts: array<string>, own: int>>")
+    def offering(ps: pd.Series, anchors: pd.Series, ns: pd.Series, deep: pd.Series) -> pd.Series:
+        return pd.Series([[{"shorts": s, "own": c} for s, c in _offered([list(x) for x in p], list(a), list(n), [list(x) for x in d])] for p, a, n, d in zip(ps, anchors, ns, deep)])
+
+    spelled = places.withColumn("k", _shorts(F.col("ts")))
+    shortened = spelled.filter("k > 0")
+    asked = cut(shortened.select("name", "k", F.inline(asking("places"))))
+    needs = asked.groupBy("anchor").agg(F.collect_set(F.size("shorts")).alias("ns"), F.collect_set(F.when(F.size("shorts") > 3, F.col("shorts"))).alias("deep"))
+    rarest = needs.select("anchor", F.explode("anchor").alias("token")).join(counts, "token").groupBy("anchor").agg(F.min_by("token", F.struct("df", "token")).alias("token"))
+    tokens_of = spelled.select("name", "ts", "places", "k", F.explode(F.array_distinct(F.flatten("places"))).alias("token"))
+    able = tokens_of.join(needs.join(rarest, "anchor"), "token").filter(F.size(F.array_except("anchor", F.flatten("places"))) == 0)
+    offered = cut(able.select("name", "k", "anchor", F.inline(offering("places", "anchor", "ns", "deep"))))
+
+    labels = groups(links.filter("k = 0"))
+    for k in sorted(r["k"] for r in asked.select("k").unionByName(links.select("k").filter("k > 0")).distinct().collect()):
+        fuller = offered.filter(F.col("k") < k).join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
+        fits = fuller.groupBy("anchor", "shorts", "own").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        tried = asked.filter(F.col("k") == k).join(fits, ["anchor", "shorts"]).withColumn("cost", F.col("cost") + F.col("own"))
+        ends = tried.groupBy("name", "cost").agg(F.min("low").alias("low"), F.max("high").alias("high")).groupBy("name").agg(F.min_by(F.struct("low", "high"), "cost").alias("r"))
+        ends = cut(ends.select("name", (F.col("r.low") == F.col("r.high")).alias("sure"), F.col("r.low").alias("fit")))
+        level = shortened.filter(F.col("k") == k)
+        sure = ends.filter("sure").select("name", F.col("fit").alias("label"))
+        # Spellings that meet are one name unless they fit different groups.
+        met = links.filter(F.col("k") == k).select("a", "b")
+        end = lambda s: ends.select(F.col("name").alias(s), F.col("sure").alias(f"sure_{s}"), F.col("fit").alias(f"fit_{s}"))
+        agreed = met.join(end("a"), "a", "left").join(end("b"), "b", "left").filter("sure_a is null or sure_b is null or (sure_a = sure_b and (not sure_a or fit_a = fit_b))").select("a", "b")
+        own = cut(groups(agreed.unionByName(_nested(level.join(ends, "name", "left_anti")))))
+        # What fits by itself keeps its group; what does not follows those that it met, if they agree.
+        led = own.join(sure.select("name", F.col("label").alias("fit")), "name").groupBy("label").agg(F.min("fit").alias("low"), F.max("fit").alias("high")).filter("low = high").select("label", "low")
+        followed = own.join(sure, "name", "left_anti").join(led, "label", "left").select("name", F.coalesce("low", "label").alias("label"))
+        labels = cut(labels.unionByName(sure).unionByName(sure.select(F.col("label").alias("name"), "label")).unionByName(followed).groupBy("name").agg(F.min("label").alias("label")))
+    return labels
+
+
+def _nested(alone: DataFrame) -> DataFrame:
+    """(a, b): links of spellings that fit nobody and differ in one beginning, from the shorter to the longest that it begins.
+
+    Of one initial there are few (at most three letters); they are linked if each begins the longest.
     """
-    steps = lambda rows: rows.withColumn("step", F.lit(0)).unionByName(rows.join(up, rows["token"] == up["token"]).select(*(c for c in rows.columns if c != "token"), F.col("upper").alias("token"), F.lit(1).alias("step")))
-    labelled = full.filter(F.size("ts") == 2).join(whole, "name", "left").select(F.coalesce("label", "name").alias("label"), "ts")
-    heads_of = lambda token: F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.substring(token, F.lit(1), n))
-    first, second = F.col("ts")[0], F.col("ts")[1]
-    rest = F.array(*(F.struct(token.alias("token"), heads_of(other).alias("heads")) for token, other in ((first, second), (second, first))))
-    offered = steps(labelled.select("label", F.inline(rest)).select("label", "token", F.explode("heads").alias("head")))
-    fits = offered.groupBy("token", "head", "step").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-
-    longer = F.when(F.char_length(F.col("ts")[0]) > 3, 0).otherwise(1)
-    short = spelled.filter((F.size("ts") == 2) & (F.size(F.filter("ts", lambda t: F.char_length(t) > 3)) == 1))
-    heads = cut(short.select("name", F.get("ts", longer).alias("token"), F.get("ts", 1 - longer).alias("head")))
-    tried = steps(heads).withColumnRenamed("step", "own").join(fits, ["token", "head"]).withColumn("cost", F.col("own") + F.col("step"))
-    ends = tried.groupBy("name", "cost").agg(F.min("low").alias("low"), F.max("high").alias("high")).groupBy("name").agg(F.min_by(F.struct("low", "high"), "cost").alias("r"))
-    ends = cut(ends.select("name", "r.low", "r.high"))
-    sure = ends.filter("low = high").select("name", F.col("low").alias("label"))
-
-    # Beginnings that fit nobody are one name if each begins the longest; of one initial there are few (at most three letters).
-    alone = heads.join(ends.select("name"), "name", "left_anti").withColumn("initial", F.substring("head", 1, 1))
-    sets = alone.groupBy("token", "initial").agg(F.collect_set("head").alias("hs"), F.max_by("head", F.char_length("head")).alias("top"), F.min("name").alias("label"))
-    nested = sets.filter(F.forall("hs", lambda h: F.startswith(F.col("top"), h))).select("token", "initial", "label")
-    joined = alone.join(nested, ["token", "initial"]).select("name", "label")
-    return sure.unionByName(sure.select(F.col("label").alias("name"), "label")).unionByName(joined)
+    turn = F.transform(F.filter(F.sequence(F.lit(0), F.size("ts") - 1), lambda i: F.char_length(F.get("ts", i)) <= 3), lambda i: F.struct(F.get("ts", i).alias("head"), F.array_sort(F.filter("ts", lambda t, j: j != i)).alias("others")))
+    heads = alone.filter(F.size("ts") > 1).select("name", F.inline(turn)).groupBy("others", "head").agg(F.min("name").alias("name"))
+    sets = heads.groupBy("others", F.substring("head", 1, 1).alias("initial")).agg(F.collect_list(F.struct("head", "name")).alias("hs")).filter(F.size("hs") > 1)
+    tops = sets.select(F.explode("hs").alias("x"), F.col("hs").alias("longer"))
+    top = F.array_max(F.transform("longer", lambda y: F.struct(F.char_length(y["head"]).alias("n"), y["head"].alias("head"), y["name"].alias("name"))))
+    return tops.select("x", "longer", top.alias("top")).filter(F.forall("longer", lambda y: F.startswith(F.col("top.head"), y["head"]))).select(F.col("x.name").alias("a"), F.col("top.name").alias("b")).filter("a <> b")
 
 
 def pairs(labelled: DataFrame) -> DataFrame:

@@ -82,6 +82,16 @@ def test_names_nicknames_and_ambiguity(spark):
     assert groups(spark) == [] and groups(spark, "Satu", "SATU", "Satu") == [("SATU", "Satu")]
 
 
+def test_names_with_short_tokens(spark):
+    same = [("Oda", "ODA"), ("Yi Kim", "YI KIM"), ("Kim Min Soo", "Kim, Min Soo"), ("Van der Berg", "VAN DER BERG"), ("Lee Junho", "Lee Junhoo"), ("RINA A PUTRI", "Rina A. Putri", "Rina Putri"), ("D. Lee", "Dewanto Lee")]
+    assert groups(spark, *(n for g in same for n in g)) == sorted(p for g in same for p in all_pairs(*g))
+    assert groups(spark, "R. Ayu Putri", "Rina Ayu Putri", "R. A. Putri", "Rina A. Putri") == all_pairs("R. Ayu Putri", "Rina Ayu Putri", "R. A. Putri", "Rina A. Putri")
+    assert groups(spark, "R. Ayu Putri", "Rina Ayu Putri", "Rosa Ayu Putri") == []  # fits two
+    assert groups(spark, "R. Kim Putri", "Rina Kim Putri", "R. Tan Putri") == [("R. Kim Putri", "Rina Kim Putri")]
+    assert groups(spark, "la " * 12, "LA " * 12) == [("LA " * 12, "la " * 12)]
+    assert groups(spark, "A. B. C. D. Momosa", "Amin Budi Citra Dewi Momosa", "J. K.", "Joko Kusuma") == [("A. B. C. D. Momosa", "Amin Budi Citra Dewi Momosa")]
+
+
 def test_near_tokens_against_brute_force(spark):
     rng = random.Random(2)
     pool = {"".join(rng.choice("abk") for _ in range(rng.randrange(4, 8))) for _ in range(250)}
