@@ -323,12 +323,13 @@ def _abbreviated(places: DataFrame, links: DataFrame, counts: DataFrame) -> Data
 def _nested(alone: DataFrame) -> DataFrame:
     """(a, b): links of spellings that fit nobody and differ in one beginning, from the shorter to the longest that it begins.
 
-    Of one initial there are few (at most three letters); they are linked if each begins the longest.
+    A beginning of several that do not begin each other is left out. Of one initial there are few (at most three letters).
     """
     turn = F.transform(F.filter(F.sequence(F.lit(0), F.size("ts") - 1), lambda i: F.char_length(F.get("ts", i)) <= 3), lambda i: F.struct(F.get("ts", i).alias("head"), F.array_sort(F.filter("ts", lambda t, j: j != i)).alias("others")))
     heads = alone.filter(F.size("ts") > 1).select("name", F.inline(turn)).groupBy("others", "head").agg(F.min("name").alias("name"))
     sets = heads.groupBy("others", F.substring("head", 1, 1).alias("initial")).agg(F.collect_list(F.struct("head", "name")).alias("hs")).filter(F.size("hs") > 1)
-    tops = sets.select(F.explode("hs").alias("x"), F.col("hs").alias("longer"))
+    longer = F.filter("hs", lambda x: F.startswith(x["head"], F.col("x.head")) & (x["head"] != F.col("x.head")))
+    tops = sets.select("hs", F.explode("hs").alias("x")).select("x", longer.alias("longer")).filter(F.size("longer") > 0)
     top = F.array_max(F.transform("longer", lambda y: F.struct(F.char_length(y["head"]).alias("n"), y["head"].alias("head"), y["name"].alias("name"))))
     return tops.select("x", "longer", top.alias("top")).filter(F.forall("longer", lambda y: F.startswith(F.col("top.head"), y["head"]))).select(F.col("x.name").alias("a"), F.col("top.name").alias("b")).filter("a <> b")
 

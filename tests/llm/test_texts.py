@@ -92,6 +92,11 @@ def test_names_with_short_tokens(spark):
     assert groups(spark, "A. B. C. D. Momosa", "Amin Budi Citra Dewi Momosa", "J. K.", "Joko Kusuma") == [("A. B. C. D. Momosa", "Amin Budi Citra Dewi Momosa")]
 
 
+def test_names_of_beginnings_that_fit_nobody(spark):
+    assert groups(spark, "Jud. Kusoyewa", "KUSOYEWA, JUD.", "Jan. Kusoyewa", "J. Kusoyewa", "Ju. Kusoyewa") == all_pairs("Jud. Kusoyewa", "KUSOYEWA, JUD.", "Ju. Kusoyewa")
+    assert groups(spark, "Studio Abe", "STUDIO ABE", "Studio Ako") == [("STUDIO ABE", "Studio Abe")]
+
+
 def test_near_tokens_against_brute_force(spark):
     rng = random.Random(2)
     pool = {"".join(rng.choice("abk") for _ in range(rng.randrange(4, 8))) for _ in range(250)}
