@@ -64,7 +64,7 @@ _OPEN = r"(?:(?:sorry|oops|ups|whoops|maaf|error|uh-oh|lo siento|ups)[,.!:]* +)?
 _THING = r"(?:(?:the|this|that|our|your|an?|requested|upstream|web) )*(?:page|server|site|website|host|database|comic|series|title|record|resource|content|request|document|file|service|gateway|connection)(?: (?:you (?:requested|asked for|are looking for|tried to (?:open|reach))|kami|ini|anda|komik))*"
 _HAL = r"(?:halaman|laman|alamat|server|basis data|situs|komik|konten|data|layanan|koneksi|permintaan|berkas)(?: (?:komik|utama|hulu|data|web))?(?: (?:ini|itu|kami|anda|yang (?:anda|kamu) (?:cari|minta|buka|tuju)))*"
 ERRORS = [
-    rf"{_CODE}(?: *[|:\-–—] *| +)(?:not found|forbidden|bad gateway|gateway time-?out|internal server error|service (?:temporarily )?unavailable|bad request|unauthorized|too many requests|access denied|akses ditolak|tidak ditemukan|halaman tidak ditemukan|error)",
+    rf"{_CODE}(?: *[|:\-–—] *| +)(?:not found|forbidden|bad gateway|gateway time-?out|internal server error|service (?:temporarily )?unavailable|bad request|unauthorized|too many requests|access denied|akses ditolak|tidak ditemukan|halaman tidak ditemukan|error(?! *#?\d))",
     r"(?:page |file )?not found|forbidden|bad gateway|gateway time-?out|internal server error|service (?:temporarily )?unavailable|bad request|unauthorized|access denied|akses ditolak|request time-?out|connection (?:refused|reset|timed out)",
     rf"\[{_CODE}\] [\w ]+",
     rf"(?:http(?:/\d(?:\.\d)?)? |error |err(?:or)?[ _:\-]*|galat |kesalahan )#?{_CODE}(?:[:,. \-–—]+(?:request failed|permintaan gagal|not found|forbidden|not available|tidak ditemukan|internal server error|bad gateway|access denied))?",
@@ -103,8 +103,10 @@ CODE = r"(?is)```.*?```|`[^`]*`|<(?:code|pre)\b.*?</(?:code|pre)>|\"[^\"\n]{0,60
 
 EMBEDDED = "|".join(f"(?:{g})" for g in GRAMMARS.values())
 _SENTENCE = "|".join([*(f"(?:{s})" for s in STAND_INS), *(f"(?:{_OPEN}{e}{_TAIL})" for e in ERRORS), *(f"(?:{_OPEN}{n}{_TAIL})" for n in NOTICES)])
-# A few sentences at most: repeated ones are told once before (see `residue`), so no text makes the pattern loop.
-WHOLE = rf"(?isU)\A[\s\W&&[^\[{{<%$#@&]]*+(?:(?:{_SENTENCE})[\s.!…:;,]*+){{1,6}}\z"
+_BETWEEN = r"[\s.!…:;,]"
+# One sentence after another from the start of the field, however many: each follows the one before and is followed by another or the end.
+SENTENCE = rf"(?isU)\A[\s\W&&[^\[{{<%$#@&]]*+(?:{_SENTENCE}){_BETWEEN}*+\z"
+NEXT = rf"(?isU)\G(?:\A[\s\W&&[^\[{{<%$#@&]]*+)?(?:{_SENTENCE}){_BETWEEN}*+(?=\z|{_SENTENCE})"
 PLACED = f"(?s)(?:{EMBEDDED}|{'|'.join(f'(?:{g})' for g in WHOLE_GRAMMARS)})"
 
 
@@ -121,9 +123,14 @@ def _only_words(t: Column) -> Column:
     return plain & let(found, told)
 
 
-def _once(t: Column) -> Column:
-    """A long text with each of its sentences told once."""
-    return F.when(F.char_length(t) <= 500, t).otherwise(F.array_join(F.array_distinct(F.split(t, r"(?<=[.!?\n])\s+")), " "))
+def _only_sentences(t: Column) -> Column:
+    """Whether the field is nothing but sentences of residue, of any number.
+
+    Either each part between separators is one, or they follow one another, with
+    separators within them. Each is looked at once, so time follows the length.
+    """
+    parts = F.array_distinct(F.filter(F.split(t, r"(?U)(?<=[.!?…:;,\n])\s+"), lambda x: x != ""))
+    return (F.regexp_replace(t, NEXT, "") == "") | F.forall(parts, lambda x: x.rlike(SENTENCE))
 
 
 def residue(text: Column) -> Column:
@@ -139,7 +146,7 @@ def residue(text: Column) -> Column:
     def judged(t: Column) -> Column:
         blank = ~t.rlike(r"(?U)\S")
         placed = t.rlike(PLACED) & F.regexp_replace(t, PLACED, "").rlike(r"(?U)\A[\s.,;:\-–—/|]*\z")
-        return ~blank & (placed | _only_words(t) | let(_once(t), lambda o: o.rlike(WHOLE)) | (t.rlike(EMBEDDED) & within(t)))
+        return ~blank & (placed | _only_words(t) | _only_sentences(t) | (t.rlike(EMBEDDED) & within(t)))
 
     return F.coalesce(let(text, judged), F.lit(False))
 

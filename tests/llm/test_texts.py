@@ -133,6 +133,19 @@ def test_residue(spark):
     assert [t for t, r in zip(RESIDUE, got) if not r] == [] and [t for t, r in zip(CONTENT, got[len(RESIDUE) :]) if r] == []
 
 
+def judged(spark, *texts):
+    """The texts that are residue."""
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").filter(residue.residue(F.col("t"))).collect()
+    return [texts[i] for i in sorted(r["i"] for r in rows)]
+
+
+def test_residue_of_any_number_of_sentences(spark):
+    kinds = ["Error 503.", "Bad Gateway!", "Coming soon...", "Page not found.", "Please enable JavaScript.", "Access denied. Your IP was blocked.", "TBA.", "Maaf, halaman ini tidak ditemukan.", "Loading..."]
+    whole = ["Coming soon. " * n for n in (1, 6, 7, 20, 38, 40, 5000)] + [" ".join(kinds), *(f"{s} ".join(["Error 503"] * n) for s in ";,:" for n in (7, 100, 3000))]
+    assert judged(spark, *whole) == whole
+    assert judged(spark, *(f"{t} Lalu Tomoko pergi ke laut." for t in whole), "Coming soon. Todo list of a hero", "!!!") == []
+
+
 def test_residue_of_lines(spark):
     rows = [(1, json.dumps({"slug": "a", "judul": "%s", "sinopsis": "Kisah."})), (2, json.dumps({"slug": "b", "judul": "Kabut"})), (3, "{broken %s"), (4, None)]
     df = spark.createDataFrame([(i, datetime(2025, 1, 1), t, "f") for i, t in rows], "line_id long, fetched_at timestamp_ntz, line string, fld string")
