@@ -63,16 +63,19 @@ _TAIL = rf"(?:[,.]? *(?:try again later|(?:please )?try again(?: in \d+ \w+)?|co
 _OPEN = r"(?:(?:sorry|oops|ups|whoops|maaf|error|uh-oh|lo siento|ups)[,.!:]* +)?"
 _THING = r"(?:(?:the|this|that|our|your|an?|requested|upstream|web) )*(?:page|server|site|website|host|database|comic|series|title|record|resource|content|request|document|file|service|gateway|connection)(?: (?:you (?:requested|asked for|are looking for|tried to (?:open|reach))|kami|ini|anda|komik))*"
 _HAL = r"(?:halaman|laman|alamat|server|basis data|situs|komik|konten|data|layanan|koneksi|permintaan|berkas)(?: (?:komik|utama|hulu|data|web))?(?: (?:ini|itu|kami|anda|yang (?:anda|kamu) (?:cari|minta|buka|tuju)))*"
+# What only a script's warning ends with: a line, a file of code, a name that it misses.
+_MARK = r"(?:\bline \d+|(?:/|[a-z]:\\)\S*\.(?:php\d?|phtml|inc|tpl|twig|html?|js|ts|py|rb|pl|java|jsp|aspx?|go|c|cpp|cgi|sql)\b(?:[:(]\d+\)?)?|undefined (?:index|variable|offset|property|constant|array key|function|method|key)\b:? *[^\s,]+|division by zero|headers already sent|failed to open stream|no such file or directory|array to string conversion|value of type \w+|\$\w+)[)\]'\"]*"
 ERRORS = [
     rf"{_CODE}(?: *[|:\-–—] *| +)(?:not found|forbidden|bad gateway|gateway time-?out|internal server error|service (?:temporarily )?unavailable|bad request|unauthorized|too many requests|access denied|akses ditolak|tidak ditemukan|halaman tidak ditemukan|error(?! *#?\d))",
     r"(?:page |file )?not found|forbidden|bad gateway|gateway time-?out|internal server error|service (?:temporarily )?unavailable|bad request|unauthorized|access denied|akses ditolak|request time-?out|connection (?:refused|reset|timed out)",
     rf"\[{_CODE}\] [\w ]+",
     rf"(?:http(?:/\d(?:\.\d)?)? |error |err(?:or)?[ _:\-]*|galat |kesalahan )#?{_CODE}(?:[:,. \-–—]+(?:request failed|permintaan gagal|not found|forbidden|not available|tidak ditemukan|internal server error|bad gateway|access denied))?",
     r"err_\w+",
-    r"error: (?:template|variable|key|field|partial) .{1,40} (?:missing|not found|undefined)",
-    r"(?:sqlstate|ora-|mysql|pg)[\[\-]?\w+\]?: .{1,80}",
-    r"(?:fatal|parse|syntax|runtime|uncaught) ?(?:type|reference)?error: .{1,100}",
-    r"(?:warning|notice|deprecated|traceback)\b.{0,20}: .{1,100}",
+    r"error: (?:template|variable|key|field|partial) .+ (?:missing|not found|undefined)",
+    # Messages of any length: the first heads are unmistakable, a warning needs a mark of a script in it.
+    r"(?:sqlstate\[\w+\] \[\d+\]|sqlstate[\[\-]?\w+\]?:|ora-\d+:|mysql[\[\-]?\w*\]?:|pg(?!-?\d\d?\b)[\[\-]?\w+\]?:) .+",
+    r"(?:php )?(?:(?:fatal|parse|syntax|runtime|uncaught) ?(?:type|reference|syntax|range)?error|uncaught [\w\\]*exception): .+",
+    rf"(?:php )?(?:warning|notice|deprecated|traceback)\b.{{0,20}}: (?:.*{_MARK}|[\w:\\>\-]+\([^()\n]*\):? .+)",
     r"traceback \(most recent call last\).*",
     rf"halaman tidak ditemukan(?: \({_CODE}\))?",
     r"no se encontró la página|página no encontrada",

@@ -146,6 +146,21 @@ def test_residue_of_any_number_of_sentences(spark):
     assert judged(spark, *(f"{t} Lalu Tomoko pergi ke laut." for t in whole), "Coming soon. Todo list of a hero", "!!!") == []
 
 
+def test_residue_messages_of_any_length(spark):
+    frames = " ".join(f"#{i} /var/www/html/includes/db.php({i}): PDO->__construct('mysql:host=localhost')" for i in range(400))
+    whole = [
+        "Fatal error: Uncaught PDOException: SQLSTATE[HY000] [2002] Connection refused in /var/www/html/includes/db.php:14 Stack trace: #0 /var/www/html/index.php(3): connect() #1 {main} thrown in /var/www/html/includes/db.php on line 14",
+        f"Fatal error: Uncaught PDOException: no driver. Stack trace: {frames}", "Parse error: syntax error, unexpected end of file, expecting variable or dollar-open-curly or quoted string and whitespace in the view of the series page",
+        "SQLSTATE[42S02]: Base table or view not found: 1146 Table 'komik.chapters' doesn't exist (SQL: select * from chapters where komik_id = 17 and deleted_at is null order by chapter_number desc limit 50)",
+        "ORA-00942: table or view does not exist while running select id, judul, sinopsis from komik where slug = 'a-b-c' and deleted_at is null",
+        "Warning: include(/var/www/html/templates/series/detail/synopsis/long-name-of-a-template-file.php): failed to open stream: No such file or directory in /var/www/html/index.php on line 9",
+        "Notice: Undefined index: synopsis", f"Error: template '{'series.' * 20}title' missing",
+    ]
+    assert judged(spark, *whole) == whole
+    content = ["Warning: this comic contains violence.", "Notice: chapter 12 comes a week later, the author is ill.", "PG-13: a story of two robots " * 5, "Ora-ora: teriakan Tomoko di laut " * 5]
+    assert judged(spark, *content) == []
+
+
 def test_residue_of_lines(spark):
     rows = [(1, json.dumps({"slug": "a", "judul": "%s", "sinopsis": "Kisah."})), (2, json.dumps({"slug": "b", "judul": "Kabut"})), (3, "{broken %s"), (4, None)]
     df = spark.createDataFrame([(i, datetime(2025, 1, 1), t, "f") for i, t in rows], "line_id long, fetched_at timestamp_ntz, line string, fld string")
