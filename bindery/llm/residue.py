@@ -105,8 +105,14 @@ TUTORIAL = r"(?i)\b(?:template|templat|sintaks|syntax|placeholder|tutorial|varia
 CODE = r"(?is)```.*?```|`[^`]*`|<(?:code|pre)\b.*?</(?:code|pre)>|\"[^\"\n]{0,60}\"|'(?:[^'\n]{0,60})'|“[^”\n]{0,60}”"
 
 EMBEDDED = "|".join(f"(?:{g})" for g in GRAMMARS.values())
-_SENTENCE = "|".join([*(f"(?:{s})" for s in STAND_INS), *(f"(?:{_OPEN}{e}{_TAIL})" for e in ERRORS), *(f"(?:{_OPEN}{n}{_TAIL})" for n in NOTICES)])
-_BETWEEN = r"[\s.!…:;,]"
+_SEP = r"[\s,.;:/|\-–—]"
+# Words printed for missing values, filler and tests as one sentence of several kinds; words of two kinds need a mark between them ('Bar None' is a title).
+_RUNS = "|".join(rf"(?:{run})(?=[^\S\r\n]*(?:[.!…:;,/|\-–—\r\n]|\z))" for run in (
+    *(rf"{w}(?!\w)(?:{_SEP}++{w}(?!\w))*+" for w in (r"(?:undefined|null|none|nan|nil|\[object object\])", r"(?:asdf|qwerty|foo|bar|baz|blah|bla|xxx+|abc)")),
+    rf"(?:testing|test|tes)(?!\w)(?:{_SEP}++(?:testing|test|tes|\d+)(?!\w))++", r"testing(?!\w)",
+))
+_SENTENCE = "|".join([*(f"(?:{s})" for s in STAND_INS), *(f"(?:{_OPEN}{e}{_TAIL})" for e in ERRORS), *(f"(?:{_OPEN}{n}{_TAIL})" for n in NOTICES), _RUNS])
+_BETWEEN = r"[\s.!…:;,/|\-–—]"
 # One sentence after another from the start of the field, however many: each follows the one before and is followed by another or the end.
 SENTENCE = rf"(?isU)\A[\s\W&&[^\[{{<%$#@&]]*+(?:{_SENTENCE}){_BETWEEN}*+\z"
 NEXT = rf"(?isU)\G(?:\A[\s\W&&[^\[{{<%$#@&]]*+)?(?:{_SENTENCE}){_BETWEEN}*+(?=\z|{_SENTENCE})"

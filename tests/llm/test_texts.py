@@ -161,6 +161,12 @@ def test_residue_messages_of_any_length(spark):
     assert judged(spark, *content) == []
 
 
+def test_residue_of_words_and_kinds(spark):
+    whole = ["Testing", "Testing 1 2 3", "testing 123", "test test 12", "null. Error 503", "N/A - undefined", "Coming soon. Null, null.", "undefined | TBA", "foo bar. Error 503", "null\nBad Gateway", "null, " * 5000 + "Error 503"]
+    assert judged(spark, *whole) == whole
+    assert judged(spark, "Bar None", "Testing Courage", "Test", "Null Knight", "Error 503: Null Knight", "N/A - undefinedly", "Testing 1 2 3 hearts") == []
+
+
 def test_residue_of_lines(spark):
     rows = [(1, json.dumps({"slug": "a", "judul": "%s", "sinopsis": "Kisah."})), (2, json.dumps({"slug": "b", "judul": "Kabut"})), (3, "{broken %s"), (4, None)]
     df = spark.createDataFrame([(i, datetime(2025, 1, 1), t, "f") for i, t in rows], "line_id long, fetched_at timestamp_ntz, line string, fld string")
