@@ -100,9 +100,9 @@ NOTICES = [
     rf"(?:verifikasi|pastikan|konfirmasi|buktikan) (?:bahwa )?(?:anda|kamu) (?:adalah )?(?:manusia|bukan robot)(?:[,. ]+(?:id|ref|kode)?[:.]? *{_ID})?",
     r"(?:one moment|please wait|just a moment|mohon tunggu|harap tunggu|loading|memuat)[ .…!]*",
 ]
-# Words of a text that teaches placeholders, and what encloses code.
+# Words of a text that teaches placeholders, and what encloses code. A quote reaches to its closing mark in the line, an apostrophe within a word is none.
 TUTORIAL = r"(?i)\b(?:template|templat|sintaks|syntax|placeholder|tutorial|variable|variabel|snippet|kode sumber|source code)\b"
-CODE = r"(?is)```.*?```|`[^`]*`|<(?:code|pre)\b.*?</(?:code|pre)>|\"[^\"\n]{0,60}\"|'(?:[^'\n]{0,60})'|“[^”\n]{0,60}”"
+CODE = r"(?isU)```.*?```|`[^`]*`|<(?:code|pre)\b.*?</(?:code|pre)>|\"[^\"\n]*+\"|(?<!\w)'(?:[^'\n]|(?<=\w)'(?=\w))*+'(?!\w)|“[^“”\n]*+”"
 
 EMBEDDED = "|".join(f"(?:{g})" for g in GRAMMARS.values())
 _SEP = r"[\s,.;:/|\-–—]"

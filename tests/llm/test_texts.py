@@ -167,6 +167,13 @@ def test_residue_of_words_and_kinds(spark):
     assert judged(spark, "Bar None", "Testing Courage", "Test", "Null Knight", "Error 503: Null Knight", "N/A - undefinedly", "Testing 1 2 3 hearts") == []
 
 
+def test_residue_within_long_quotes(spark):
+    told = "the letter said that every reader who comes to the harbour at night, {{ name }}, shall be given a lamp and a map of the islands"
+    assert judged(spark, *(f"Tomoko read it aloud: {a}{told}{b} and then she slept." for a, b in ('""', "''", "“”"))) == []
+    lacking = ["It's the year {{ year }} and she can't go home.", f"Tomoko said \"hello\" and {told}.", "\"Unclosed {{ name }} goes on"]
+    assert judged(spark, *lacking) == lacking
+
+
 def test_residue_of_lines(spark):
     rows = [(1, json.dumps({"slug": "a", "judul": "%s", "sinopsis": "Kisah."})), (2, json.dumps({"slug": "b", "judul": "Kabut"})), (3, "{broken %s"), (4, None)]
     df = spark.createDataFrame([(i, datetime(2025, 1, 1), t, "f") for i, t in rows], "line_id long, fetched_at timestamp_ntz, line string, fld string")
