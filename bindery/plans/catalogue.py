@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bindery.functions import scalars as S
-from bindery.functions.dims import Site, extension_name, genre_ids, status_id, status_name
+from bindery.functions.dims import Site, extension_name, genre_ids, lookup, status_id, status_name
 from bindery.ml import evaluate
 from bindery.operators import extract, feed, merge, read
 from bindery.operators.dom import node_table, with_dom
@@ -565,6 +565,46 @@ def page_details(spark, folder):
     return found.select("line_id", S.or_null(F.col("author")).alias("author"), S.or_null(F.col("artist")).alias("artist"), "rating", F.size(marked).cast("long").alias("n_chapters"), "latest_chapter_number").withColumnRenamed("latest_chapter_number", "latest").filter("n_chapters > 0")
 
 
+def whole_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """(line_id, html): the staged records as detail pages with every field that the extractor reads."""
+    optional = lambda before, value, after: F.coalesce(F.concat(F.lit(before), _escaped(value), F.lit(after)), F.lit(""))
+    link = lambda c: F.concat(F.lit('<li><span class="lchx"><a href="'), _escaped(c["url"]), F.lit('">Chapter '), c["number"], F.lit("</a></span>"))
+    links = F.array_join(F.transform(objects(F.col("chapters"), "number", "url"), link), "")
+    tags = F.array_join(F.transform(items(F.col("genre_list")), lambda g: F.concat(F.lit('<a rel="tag">'), _escaped(g), F.lit("</a>"))), "")
+    host = F.coalesce(lookup({str(n): d for d, n in SITE.domains.items()}, F.col("thumb_domain_id")), F.lit("else.example"))
+    image = F.concat(F.lit("https://"), host, F.lit("/data/wp-content/uploads/Komik-"), F.col("thumb_path"))
+    html = F.concat(
+        F.lit("<html><body>"), optional('<div class="thumb"><img src="', image, '"></div>'), F.lit("<h1 class=titless>Komik "), F.coalesce(_escaped(F.col("judul")), F.lit("")), F.lit('</h1><div class="spe">'),
+        *(optional(f"<span><b>{label}:</b> ", value, "</span>") for label, value in (("Status", F.nullif(status_name(SITE, F.col("status_id").try_cast("int")), F.lit(""))), ("Tipe", F.col("tipe")), ("Pengarang", F.col("author")), ("Ilustrator", F.col("artist")), ("Alternatif", F.col("alternative_title")))),
+        F.lit('</div><div class="genre-info">'), tags, F.lit('</div><div class="rating"><i>'), F.coalesce(F.col("rating"), F.lit("")), F.lit("</i></div>"),
+        optional('<div class="entry-content"><p>', F.col("sinopsis"), "</p></div>"), F.lit('<div class="bxcl"><ul>'), links, F.lit("</ul></div></body></html>"),
+    )
+    return _records(spark, folder).select("line_id", html.alias("html"))
+
+
+_EDGES = r"'^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'"
+_HOSTS = ", ".join(f"'{n}'" for n in SITE.domains.values())
+
+
+@query(_REC + f""", c AS (SELECT line_id, e->>'$.url' AS url, try_cast(e->>'$.number' AS DOUBLE) AS number, pos FROM (SELECT line_id, unnest(l) AS e, unnest(range(len(l))) AS pos FROM (SELECT line_id, {_array('chapters')} AS l FROM r)) WHERE json_type(e) = 'OBJECT'),
+u AS (SELECT line_id, CASE WHEN url LIKE '/%' THEN '{SITE.base_url}' || url ELSE url END AS url, number, pos, contains(url, '{SITE.chapter_mark}') AS marked FROM c WHERE url <> '' AND number IS NOT NULL),
+f AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY line_id, url ORDER BY pos) = 1),
+w AS (SELECT * FROM f QUALIFY marked OR NOT bool_or(marked) OVER (PARTITION BY line_id)),
+a AS (SELECT line_id, count(*) AS n_chapters, max(number) AS latest FROM w GROUP BY 1),
+g AS (SELECT line_id, string_agg(t, '|' ORDER BY pos) AS genres FROM (SELECT line_id, regexp_replace(e->>'$', '^\\s+|\\s+$', '', 'g') AS t, pos FROM (SELECT line_id, unnest(l) AS e, unnest(range(len(l))) AS pos FROM (SELECT line_id, {_array('genre_list')} AS l FROM r))) WHERE t <> '' GROUP BY 1)
+SELECT r.line_id, regexp_replace(coalesce(d->>'$.judul', ''), {_EDGES}) AS judul, nullif(trim(d->>'$.tipe'), '') AS tipe, nullif(trim(d->>'$.author'), '') AS author, nullif(trim(d->>'$.artist'), '') AS artist,
+CASE WHEN try_cast(d->>'$.status_id' AS INT) IN (1, 2) THEN try_cast(d->>'$.status_id' AS INT) END AS status_id, nullif(regexp_replace(regexp_replace(d->>'$.alternative_title', '^ +', ''), '\\s+$', ''), '') AS alternative_title,
+nullif(regexp_replace(regexp_replace(regexp_replace(d->>'$.sinopsis', '^\\s+', ''), '^(Manga|Manhwa|Manhua)\\s+', ''), {_EDGES}), '') AS sinopsis, try_cast(d->>'$.rating' AS DOUBLE) AS rating, coalesce(genres, '') AS genres,
+CASE WHEN d->>'$.thumb_path' IS NULL THEN NULL WHEN d->>'$.thumb_domain_id' IN ({_HOSTS}) THEN CAST(d->>'$.thumb_domain_id' AS INT) ELSE 0 END AS thumb_domain_id,
+CASE WHEN d->>'$.thumb_domain_id' IN ({_HOSTS}) THEN regexp_replace(d->>'$.thumb_path', '-\\d+x\\d+\\.', '.') ELSE 'https://else.example/data/wp-content/uploads/Komik-' || (d->>'$.thumb_path') END AS thumb_path,
+coalesce(a.n_chapters, 0) AS n_chapters, a.latest FROM r LEFT JOIN a ON a.line_id = r.line_id LEFT JOIN g ON g.line_id = r.line_id WHERE d->>'$.slug' IS NOT NULL""")
+def page_records(spark, folder):
+    """Every field of every record's page, also of pages without chapters."""
+    found = extract.details(whole_pages(spark, folder), "line_id", SITE)
+    told = (S.or_null(F.col(n)).alias(n) for n in ("tipe", "author", "artist", "alternative_title", "sinopsis"))
+    return found.select("line_id", "judul", *told, F.col("status_id").cast("int").alias("status_id"), "rating", F.array_join("genre_list", "|").alias("genres"), F.col("thumb_domain_id").cast("int").alias("thumb_domain_id"), "thumb_path", F.size("chapters").cast("long").alias("n_chapters"), F.col("latest_chapter_number").alias("latest"))
+
+
 @query(_REC + f""", s AS (SELECT line_id, pos, CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END AS slug FROM (SELECT line_id, unnest(l) AS e, unnest(range(len(l))) AS pos FROM (SELECT line_id, {_array('similar')} AS l FROM r)) WHERE json_type(e) <> 'NULL')
 SELECT line_id, split_part(slug, '/', 1) AS slug FROM s WHERE slug IS NOT NULL AND slug <> '' GROUP BY ALL""")
 def page_similar(spark, folder):

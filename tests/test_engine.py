@@ -246,3 +246,18 @@ def test_detected_fields_and_agreement(spark):
     tally = {r["field"]: r for r in detect.agreement(page(spark, html.DETAIL), "page_id", net).collect()}
     assert tally["title"]["n_match"] == 1 and tally["author"]["n_match"] == 1 and tally["chapters"]["n_match"] == 1
     assert features.padded(F.array(F.lit(1.0).cast("float")), 3) is not None
+
+
+def test_page_records_keep_pages_without_chapters(spark, tmp_path):
+    """Every field of a record goes through its page, with and without chapters."""
+    from bindery.plans import catalogue
+
+    full = {"slug": "a", "judul": "Menara <b>", "tipe": "Manga", "thumb_domain_id": 2, "thumb_path": "a-300x400.jpg", "status_id": 2, "author": "Sari", "artist": "Budi", "alternative_title": "Tower; Mist", "sinopsis": "Kisah & laut.", "rating": 8.5, "genre_list": ["Laga", "Misteri"]}
+    chapters = [{"number": 1, "url": "/a-chapter-1/"}, {"number": 2, "url": "https://x/a-chapter-2/"}]
+    rows = [(1, json.dumps(full | {"chapters": chapters})), (2, json.dumps(full | {"thumb_domain_id": 9})), (3, json.dumps({"slug": "b"}))]
+    spark.createDataFrame([(i, datetime(2025, 1, 1), "f", i, t) for i, t in rows], "line_id long, fetched_at timestamp_ntz, file_name string, line_no int, line string").write.parquet(str(tmp_path / "detail_lines.parquet"))
+    got = {r["line_id"]: r.asDict() for r in catalogue.QUERIES["page_records"](spark, str(tmp_path)).collect()}
+    same = {"judul": "Menara <b>", "tipe": "Manga", "status_id": 2, "author": "Sari", "artist": "Budi", "alternative_title": "Tower; Mist", "sinopsis": "Kisah & laut.", "rating": 8.5, "genres": "Laga|Misteri"}
+    assert got[1] == same | {"line_id": 1, "thumb_domain_id": 2, "thumb_path": "a.jpg", "n_chapters": 2, "latest": 2.0}
+    assert got[2] == same | {"line_id": 2, "thumb_domain_id": 0, "thumb_path": "https://else.example/data/wp-content/uploads/Komik-a-300x400.jpg", "n_chapters": 0, "latest": None}
+    assert got[3] == dict.fromkeys(got[3]) | {"line_id": 3, "judul": "", "genres": "", "n_chapters": 0}
