@@ -332,6 +332,20 @@ def surrogate_keys(spark, folder):
     return merge.with_ids(table(spark, folder, "komik_deleted").select("slug").distinct(), top, ["slug"])
 
 
+@query(_REC + "SELECT (SELECT max(id) FROM komik) + row_number() OVER (ORDER BY slug) AS id, slug FROM (SELECT DISTINCT d->>'$.slug' AS slug FROM n)")
+def surrogate_keys_series(spark, folder):
+    """Ids of every staged series (in the given tables all of them are stored already, so new ones alone would be none)."""
+    top = table(spark, folder, "komik").agg(F.max("id")).first()[0]
+    return merge.with_ids(_newest(spark, folder).select("slug"), top, ["slug"])
+
+
+@query("SELECT 1000 + row_number() OVER (ORDER BY komik_id, chapter_number) AS id, komik_id, chapter_number FROM (SELECT DISTINCT komik_id, chapter_number FROM chapters WHERE komik_id IS NOT NULL AND chapter_number IS NOT NULL)")
+def surrogate_keys_chapters(spark, folder):
+    """Ids of every natural key of a chapter."""
+    keys = table(spark, folder, "chapters").filter("komik_id is not null and chapter_number is not null").select("komik_id", "chapter_number").distinct()
+    return merge.with_ids(keys, 1000, ["komik_id", "chapter_number"])
+
+
 # --- feed --------------------------------------------------------------------------
 
 
@@ -495,6 +509,16 @@ def scaler_stats(spark, folder):
     return row.select(F.round("m", 9).alias("mean"), F.round(F.when(F.col("s") == 0, 1.0).otherwise(F.col("s")), 9).alias("scale"), "n")
 
 
+@query()
+def scaler_features(spark, folder):
+    """Mean and deviation of each of the 44 features over the elements of every page."""
+    from bindery.ml.features import NAMES, features
+    from bindery.ml.model import scaler
+
+    mean, scale = scaler(features(pages(spark, folder), "line_id"), len(NAMES))
+    return spark.createDataFrame([(n, round(m, 9), round(x, 9)) for n, m, x in zip(NAMES, mean, scale)], "feature string, mean double, scale double")
+
+
 def _scored(spark, folder) -> DataFrame:
     """Series rated by themselves: does the rating tell that a series is complete?"""
     rows = table(spark, folder, "komik").filter("rating is not null and status_id is not null")

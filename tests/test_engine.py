@@ -261,3 +261,21 @@ def test_page_records_keep_pages_without_chapters(spark, tmp_path):
     assert got[1] == same | {"line_id": 1, "thumb_domain_id": 2, "thumb_path": "a.jpg", "n_chapters": 2, "latest": 2.0}
     assert got[2] == same | {"line_id": 2, "thumb_domain_id": 0, "thumb_path": "https://else.example/data/wp-content/uploads/Komik-a-300x400.jpg", "n_chapters": 0, "latest": None}
     assert got[3] == dict.fromkeys(got[3]) | {"line_id": 3, "judul": "", "genres": "", "n_chapters": 0}
+
+
+def test_ids_and_scaler_of_whole_tables(spark, tmp_path):
+    from bindery.plans import catalogue
+
+    rows = [(i, json.dumps({"slug": f"s{i % 40:02}", "judul": f"T{i}", "author": "Sari" if i % 3 else None})) for i in range(60)]
+    spark.createDataFrame([(i, datetime(2025, 1, 1), "f", i, t) for i, t in rows], "line_id long, fetched_at timestamp_ntz, file_name string, line_no int, line string").write.parquet(str(tmp_path / "detail_lines.parquet"))
+    spark.createDataFrame([(7, "s00"), (9, "s01")], "id long, slug string").write.parquet(str(tmp_path / "komik.parquet"))
+    chapters = [(k, n / 2) for k in (3, 1, 2) for n in range(50)]
+    spark.createDataFrame(chapters + chapters + [(None, 1.0)], "komik_id long, chapter_number double").write.parquet(str(tmp_path / "chapters.parquet"))
+    run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in run("surrogate_keys_series")) == [(10 + i, f"s{i:02}") for i in range(40)]
+    assert sorted(tuple(r) for r in run("surrogate_keys_chapters")) == [(1001 + i, *k) for i, k in enumerate(sorted(chapters))]
+    values = np.array([r["features"] for r in features.features(catalogue.pages(spark, str(tmp_path)), "line_id").collect()], dtype="float64")
+    got = run("scaler_features")
+    assert [r["feature"] for r in got] == list(features.NAMES)
+    assert np.allclose([r["mean"] for r in got], values.mean(0), atol=1e-6)
+    assert np.allclose([r["scale"] for r in got], np.where(values.std(0) == 0, 1, values.std(0)), atol=1e-6)
