@@ -2,48 +2,60 @@
 
 Byte-level pair encodings merge only within the words their pattern splits off.
 So the words are split in Spark, each distinct word is encoded once, and the ids
-are joined back by position. Words that make up more than a set share of all
-words are few by arithmetic (at most 1 / share) and are joined by broadcast; the
-rest, none of which is hot, by a shuffle.
+are joined back by position. The most frequent words, of a set number, are joined
+in place by broadcast, so a text's places are never shuffled; only its other
+words, each once, go through a join of their own and come back to the text.
 """
 
 from __future__ import annotations
 
+import hashlib
+from pathlib import Path
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.runtime import cut, kept, spread
 
 VOCABULARIES = "/opt/tokenizers"
-#: A word with at least this share of all words is joined by broadcast: at most 20,000 words.
-HOT_SHARE = 1 / 20_000
+#: At most this many words are joined by broadcast: all if there are no more, else those with at least 1 / HOT_WORDS of all words, which are no more by arithmetic.
+HOT_WORDS = 200_000
 # Fixed value: how the vocabulary splits a text; written with explicit Unicode classes for the JVM.
 _WS = r"[\p{IsWhite_Space}]"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{IsWhite_Space}}\p{{L}}\p{{N}}]+|{_WS}+(?!\P{{IsWhite_Space}})|{_WS}+"
 
 
-def tokenizer(name: str, folder: str = VOCABULARIES):
-    """The vocabulary `name`, read once in a process. Strings of special tokens are ordinary text to it."""
+def vocabulary(name: str, folder: str = VOCABULARIES) -> str:
+    """The vocabulary file `name`, as the driver reads it; it travels to the executors with the job."""
+    return Path(f"{folder}/{name}.json").read_text(encoding="utf-8")
+
+
+def tokenizer(text: str):
+    """The tokenizer of a vocabulary's text, made once in a process. Strings of special tokens are ordinary text to it."""
 
     def load():
         from tokenizers import Tokenizer
 
-        loaded = Tokenizer.from_file(f"{folder}/{name}.json")
+        loaded = Tokenizer.from_str(text)
         loaded.encode_special_tokens = True
         return loaded
 
-    return kept(("tokenizer", name, folder), load)
+    return kept(("tokenizer", hash(text)), load)
 
 
 def encode_distinct(words: DataFrame, name: str, folder: str = VOCABULARIES) -> DataFrame:
-    """(word, ids) of a table of distinct words."""
+    """`words`, a table of distinct words (word), with their ids."""
+    shared = words.sparkSession.sparkContext.broadcast(vocabulary(name, folder))
 
     @F.pandas_udf("array<int>")
     def encode(batch: pd.Series) -> pd.Series:
-        return pd.Series([x.ids for x in tokenizer(name, folder).encode_batch(batch.tolist(), add_special_tokens=False)])
+        return pd.Series([x.ids for x in tokenizer(shared.value).encode_batch(batch.tolist(), add_special_tokens=False)])
 
-    return words.select("word", encode("word").alias("ids"))
+    return words.withColumn("ids", encode("word"))
 
 
 def split(text: Column) -> Column:
@@ -51,37 +63,82 @@ def split(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-def encode(docs: DataFrame, name: str, key: str = "doc_id", text: str = "text", folder: str = VOCABULARIES, hot_share: float = HOT_SHARE) -> DataFrame:
+def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The values of a list column, without those of nulls, and the place where each row's begin and end."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    return lists.flatten(), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+
+
+def _coded(words: pa.Array, table: pa.Table) -> tuple[pa.Array, pa.Array]:
+    """By row of words: the ids of those in `table` (word, ids), -1 - n for the row's n-th other word; and its other words, each once."""
+    flat, ends = _flat(words)
+    known_ids, known_ends = _flat(table["ids"])
+    known_ids = np.asarray(known_ids, dtype=np.int32)
+    found = pc.index_in(flat, value_set=table["word"])
+    other = np.asarray(found.is_null())
+    at = np.asarray(found.fill_null(0), dtype=np.int64)
+    at[other] = 0
+    size = np.ones(len(at), dtype=np.int64)
+    if table.num_rows:
+        size = np.where(other, 1, known_ends[at + 1] - known_ends[at])
+    starts = np.concatenate(([0], np.cumsum(size)))
+    ids = np.zeros(starts[-1], dtype=np.int32)
+    if len(known_ids):
+        # The n-th id of a word stands n places behind its first.
+        first = np.where(other, 0, known_ends[at])
+        source = np.repeat(first - starts[:-1], size) + np.arange(starts[-1])
+        ids = known_ids[np.minimum(source, len(known_ids) - 1)]
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[other]
+    codes = pc.dictionary_encode(flat.filter(pa.array(other)))
+    keys = row * max(1, len(codes.dictionary)) + np.asarray(codes.indices, dtype=np.int64)
+    once, place = np.unique(keys, return_inverse=True)
+    owner = once // max(1, len(codes.dictionary))
+    begins = np.searchsorted(owner, np.arange(len(ends)))
+    ids[starts[:-1][other]] = -1 - (place - begins[row])
+    rest = codes.dictionary.take(pa.array(once % max(1, len(codes.dictionary))))
+    return pa.ListArray.from_arrays(pa.array(starts[ends], pa.int32()), pa.array(ids, pa.int32())), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), rest)
+
+
+def _hot(table: DataFrame, hot_words: int) -> pa.Table:
+    """(word, ids) of the words that are joined in place, at most `hot_words`."""
+    n, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    return table.filter(F.col("count") * hot_words >= (0 if n <= hot_words else total)).select("word", "ids").toArrow()
+
+
+def encode(docs: DataFrame, name: str, key: str = "doc_id", text: str = "text", folder: str = VOCABULARIES, hot_words: int = HOT_WORDS) -> DataFrame:
     """(key, ids): the token ids of every row, without special tokens.
 
     Empty and null texts give an empty list, blank texts are encoded as they are.
-    Repeated rows and null keys give a row each: rows are told apart by key and
-    text hash, and counted. Other columns of `docs` are not read.
+    Repeated rows and null keys give a row each. Other columns of `docs` are not read.
     """
-    rows = spread(docs).select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    # The hash is made below the explode, once for a text.
-    parts = rows.withColumn("h", F.xxhash64("t")).select("k", "h", F.posexplode_outer(split(F.col("t"))).alias("pos", "word"))
-    counted = cut(rows.select(F.explode(split(F.col("t"))).alias("word")).groupBy("word").count())
-    total = counted.agg(F.sum("count")).first()[0] or 0
-    table = cut(encode_distinct(counted.select("word"), name, folder).join(counted, "word"))
-    hot = table.filter(F.col("count") >= max(1.0, total * hot_share)).select("word", "ids")
-    rest = table.filter(F.col("count") < max(1.0, total * hot_share)).select("word", F.col("ids").alias("cold_ids"))
-    first = parts.join(F.broadcast(hot), "word", "left")
-    found = first.filter(F.col("ids").isNotNull() | F.col("word").isNull()).select("k", "h", "pos", "ids")
-    cold = first.filter(F.col("ids").isNull() & F.col("word").isNotNull()).join(rest, "word").select("k", "h", "pos", F.col("cold_ids").alias("ids"))
-    # Most words have one id: place and id go through the shuffle as one number, other words as structs.
-    single = F.size("ids") == 1
-    packed = F.when(single, F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.get("ids", F.lit(0)).cast("long")))
-    grouped = found.unionByName(cold).groupBy("k", "h").agg(
-        F.collect_list(packed).alias("singles"),
-        F.collect_list(F.when(~single, F.struct("pos", "ids"))).alias("others"),
-        F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"),
-    )
-    opened = F.transform("singles", lambda x: F.struct(F.shiftright(x, 32).cast("int").alias("pos"), F.array(x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("ids")))
-    parts = F.sort_array(F.concat(opened, "others"))
-    ids = F.flatten(F.transform(F.when(F.col("copies") > 1, F.array_distinct(parts)).otherwise(parts), lambda p: p["ids"]))
-    once = grouped.select(F.col("k").alias(key), ids.alias("ids"), "copies")
-    return once.select(key, "ids", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    rows = spread(docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))).select("k", split(F.col("t")).alias("words"))
+    table = cut(encode_distinct(rows.select(F.explode("words").alias("word")).groupBy("word").count(), name, folder))
+    sink = pa.BufferOutputStream()
+    hot = _hot(table, hot_words)
+    with pa.ipc.new_stream(sink, hot.schema) as writer:
+        writer.write_table(hot)
+    stored = sink.getvalue().to_pybytes()
+    shared, stamp = docs.sparkSession.sparkContext.broadcast(stored), hashlib.sha1(stored).hexdigest()
+
+    def code(batches):
+        known = kept(("hot words", stamp), lambda: pa.ipc.open_stream(shared.value).read_all().combine_chunks())
+        for batch in batches:
+            ids, rest = _coded(batch.column("words"), known)
+            yield pa.RecordBatch.from_arrays([batch.column("k"), ids, rest], names=["k", "ids", "rest"])
+
+    kind = rows.schema["k"].dataType.simpleString()
+    coded = rows.mapInArrow(code, f"k {kind}, ids array<int>, rest array<string>")
+    if hot.num_rows == table.count():
+        return coded.select(F.col("k").alias(key), "ids")
+    # Rows are told apart by a number that the checkpoint fixes.
+    coded = cut(coded.withColumn("row", F.monotonically_increasing_id()))
+    asked = coded.select("row", F.posexplode("rest").alias("n", "word"))
+    told = asked.join(table.select("word", F.col("ids").alias("own")), "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("n", "own"))).alias("told"))
+    filled = F.flatten(F.transform("ids", lambda x: F.when(x >= 0, F.array(x)).otherwise(F.get("told", -1 - x)["own"])))
+    whole = coded.filter(F.size("rest") == 0).select(F.col("k").alias(key), "ids")
+    return whole.unionByName(coded.filter(F.size("rest") > 0).join(told, "row").select(F.col("k").alias(key), filled.alias("ids")))
 
 
 def pieces(spark: SparkSession, name: str, folder: str = VOCABULARIES) -> DataFrame:
@@ -89,8 +146,8 @@ def pieces(spark: SparkSession, name: str, folder: str = VOCABULARIES) -> DataFr
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     unshown = [b for b in range(256) if b not in set(shown)]
     byte = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(unshown)}
-    vocabulary = tokenizer(name, folder).get_vocab()
-    return spark.createDataFrame(pd.DataFrame([(i, bytes(byte[c] for c in piece)) for piece, i in vocabulary.items() if all(c in byte for c in piece)], columns=["id", "piece"]), "id int, piece binary")
+    vocab = tokenizer(vocabulary(name, folder)).get_vocab()
+    return spark.createDataFrame(pd.DataFrame([(i, bytes(byte[c] for c in piece)) for piece, i in vocab.items() if all(c in byte for c in piece)], columns=["id", "piece"]), "id int, piece binary")
 
 
 def decode(encoded: DataFrame, name: str, key: str = "doc_id", folder: str = VOCABULARIES) -> DataFrame:
