@@ -24,16 +24,16 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("komik_id"), "pos", "val")
 
 
-def _states(spark: SparkSession, folder: str) -> DataFrame:
+def _deliveries(spark: SparkSession, folder: str) -> DataFrame:
     series, chapters = table(spark, folder, "komik_snapshots"), table(spark, folder, "chapter_snapshots")
     number = snapshots.number_text
-    return snapshots.latest_state(series, "komik", "komik_id", [number(F.col("latest_chapter_number")), F.col("chapter_count").cast("string")]).unionByName(
-        snapshots.latest_state(chapters, "chapters", "chapter_id", [number(F.col("chapter_number"))])
+    return snapshots.deliveries(series, "komik", "komik_id", [number(F.col("latest_chapter_number")), F.col("chapter_count").cast("string")]).unionByName(
+        snapshots.deliveries(chapters, "chapters", "chapter_id", [number(F.col("chapter_number"))])
     )
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshots.deltas(_states(spark, folder))
+    return snapshots.deltas(_deliveries(spark, folder))
 
 
 def p5_counts(spark: SparkSession, folder: str) -> DataFrame:

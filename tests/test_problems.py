@@ -80,7 +80,7 @@ def test_packed_fields(spark):
 
 def snapshot_state(spark, rows):
     df = spark.createDataFrame(rows, "snapshot_no int, delivered_at timestamp_ntz, k long, v string, rel string, digest string")
-    return snapshots.latest_state(df, "t", "k", [snapshots.number_text(F.col("v"))])
+    return snapshots.deliveries(df, "t", "k", [snapshots.number_text(F.col("v"))])
 
 
 def brute(rows):
@@ -127,6 +127,20 @@ def test_snapshots_fall_back_to_the_join(spark, monkeypatch):
     assert sorted(map(tuple, snapshots.deltas(snapshot_state(spark, rows), 10_000, 6).collect())) == brute(rows)
 
 
+def test_snapshots_with_a_record_of_a_third_of_all_rows(spark):
+    rows = [(no, AT + timedelta(seconds=i), 7, str(i), "r", "d") for no in (1, 2) for i in range(100)] + [(no, AT, k, str(k), "r", "d") for no in (1, 2) for k in range(10, 210)]
+    state = snapshot_state(spark, rows + [(2, AT, 999, "1", "r", "d"), (2, AT + timedelta(days=1), 7, "x", "r", "d")])
+    assert sorted(map(tuple, snapshots.deltas(state, 50).collect())) == [("t", 2, 7, "changed"), ("t", 2, 999, "added")]
+
+
+def test_snapshot_rows_are_moved_once(spark):
+    state = snapshot_state(spark, [(no, AT, k, str(k), "r", "d") for no in (1, 2) for k in range(50)])
+    state = state.unionByName(state.withColumn("rel", F.lit("u")))
+    steps = spark.createDataFrame([("t", 1, 50, []), ("t", 2, 50, [])], "rel string, snapshot_no int, n long, hot array<long>")
+    plan = snapshots._cells(snapshots._elements(state, steps, 4), 30)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(rel" in plan
+
+
 def test_number_text(spark):
     df = spark.createDataFrame([(x,) for x in ("5", "05", "5.0", " 5,00 ", "-0", "", None, "x", "1e1", "10")], "v string")
     got = [r[0] for r in df.select(snapshots.number_text(F.col("v"))).collect()]
