@@ -1,7 +1,8 @@
 """References to records that do not exist.
 
-The distinct keys are made first (a hot key collapses on the map side), anti-joined
-with the parents, and the bad keys joined back to the references.
+The references are written once as they are read. Their distinct keys (a hot key
+collapses on the map side) are anti-joined with the parents, and the bad keys
+joined back to the references.
 """
 
 from __future__ import annotations
@@ -23,7 +24,19 @@ def orphans(refs: DataFrame, parents: DataFrame, deleted: DataFrame) -> DataFram
     `at` or `created_at` are never late; the period of a null `at` is null.
     Result: (parent_id, ref_key, why, ym).
     """
-    refs = refs.select("parent_id", "ref_key", "at").filter(F.col("ref_key").isNotNull())
+    refs = cut(refs.select("parent_id", "ref_key", "at").filter(F.col("ref_key").isNotNull()))
+    return _orphans(refs, parents, deleted)
+
+
+def orphans_and_counts(refs: DataFrame, parents: DataFrame, deleted: DataFrame) -> DataFrame:
+    """(ym, why, n_bad, n_refs): distinct bad references, and all distinct references, per period; a period without bad ones has no row."""
+    refs = cut(refs.select("parent_id", "ref_key", "at").filter(F.col("ref_key").isNotNull()))
+    bad = _orphans(refs, parents, deleted).groupBy("ym", "why").agg(F.count(F.lit(1)).alias("n_bad"))
+    every = refs.select("parent_id", "ref_key", F.date_format("at", "yyyy-MM").alias("y")).distinct().groupBy("y").agg(F.count(F.lit(1)).alias("n_refs"))
+    return bad.join(every, F.col("ym").eqNullSafe(F.col("y")), "left").select("ym", "why", "n_bad", "n_refs")
+
+
+def _orphans(refs: DataFrame, parents: DataFrame, deleted: DataFrame) -> DataFrame:
     keys = refs.groupBy("ref_key").agg(F.min("at").alias("first_at"))
     there = parents.filter(F.col("ref_key").isNotNull()).groupBy("ref_key").agg(F.min("created_at").alias("created_at"))
     gone = deleted.select("ref_key").filter(F.col("ref_key").isNotNull()).distinct().withColumn("gone", F.lit(True))
@@ -41,9 +54,3 @@ def orphans(refs: DataFrame, parents: DataFrame, deleted: DataFrame) -> DataFram
         joined = refs.withColumn("salt", F.pmod(F.hash("parent_id", "at"), F.lit(SALT))).join(salted, ["ref_key", "salt"])
     hit = joined.filter((F.col("why") != "late") | (F.col("created_at") > F.col("at")))
     return hit.select("parent_id", "ref_key", "why", F.date_format("at", "yyyy-MM").alias("ym")).distinct()
-
-
-def orphan_counts(found: DataFrame, refs_by_period: DataFrame) -> DataFrame:
-    """Bad references and all references per table and period: (rel, ym, why, n_bad, n_refs)."""
-    bad = found.groupBy("rel", "ym", "why").agg(F.count(F.lit(1)).alias("n_bad"))
-    return bad.join(refs_by_period, (bad.rel == refs_by_period.r_rel) & bad.ym.eqNullSafe(refs_by_period.r_ym), "left").select("rel", "ym", "why", "n_bad", "n_refs")

@@ -50,22 +50,27 @@ def _genres(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "komik_genres").select(F.col("komik_id").alias("parent_id"), F.col("genre_id").cast("string").alias("ref_key"), F.col("created_at").alias("at"))
 
 
-def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+def _referring(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
+    """By table: its references, the parents that hold, the keys of deleted ones."""
     series = table(spark, folder, "komik").select(F.col("slug").alias("ref_key"), "created_at")
     taken = table(spark, folder, "komik_deleted").select(F.col("slug").alias("ref_key"))
     kinds = table(spark, folder, "genres").withColumn("ref_key", F.col("genre_id").cast("string"))
     used, unused = kinds.filter("deleted_at is null"), kinds.filter("deleted_at is not null")
-    similar = references.orphans(_similar(spark, folder), series, taken)
-    genres = references.orphans(_genres(spark, folder), used, unused)
-    return similar.select(F.lit("similar").alias("rel"), "*").unionByName(genres.select(F.lit("komik_genres").alias("rel"), "*"))
+    return {"similar": (_similar(spark, folder), series, taken), "komik_genres": (_genres(spark, folder), used, unused)}
+
+
+def _by_table(spark: SparkSession, folder: str, operator) -> DataFrame:
+    a, b = (operator(*tables).select(F.lit(rel).alias("rel"), "*") for rel, tables in _referring(spark, folder).items())
+    return a.unionByName(b)
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _by_table(spark, folder, references.orphans)
 
 
 def p7_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bad references and all distinct references per table and month."""
-    every = _similar(spark, folder).select(F.lit("similar").alias("rel"), "*").unionByName(_genres(spark, folder).select(F.lit("komik_genres").alias("rel"), "*"))
-    refs = every.filter("ref_key is not null").select("rel", "parent_id", "ref_key", F.date_format("at", "yyyy-MM").alias("ym")).distinct()
-    periods = refs.groupBy(F.col("rel").alias("r_rel"), F.col("ym").alias("r_ym")).agg(F.count(F.lit(1)).alias("n_refs"))
-    return references.orphan_counts(p7_found(spark, folder), periods)
+    return _by_table(spark, folder, references.orphans_and_counts)
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_chapters, p4_found, p5_found, p5_counts, p7_found, p7_counts)}
