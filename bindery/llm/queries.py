@@ -61,7 +61,8 @@ def p9_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    return repetition.repetitive(table(spark, folder, "documents")).select("doc_id")
+    """TESTDATA.md fixes the share at 0.4: thresholds of the groups' sketches up to it give the candidates, an exact check follows."""
+    return repetition.repetitive(table(spark, folder, "documents"), quantile=0.9, least=0.1, exact=repetition.SHARE).select("doc_id")
 
 
 def p10_adaptive(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,12 +71,17 @@ def p10_adaptive(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.round("share", 6).alias("share"))
 
 
+def p10_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the 95 % quantile of each group's sketch keeps to its stated rank error."""
+    return repetition.rank_check(table(spark, folder, "documents"), 0.95)
+
+
 def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     measured = repetition.measured(table(spark, folder, "documents").select("doc_id", "text"))
     return measured.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p2_found, p2_groups, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p2_found, p2_groups, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_limits, p10_shares)}
 
 _NARROW = {chr(c): lookalike._width(chr(c)) for c in range(0xFF01, 0xFFDD) if lookalike._width(chr(c))}
 _FROM = "".join(o for others in lookalike.LETTERS.values() for o in others) + "".join(_NARROW)
@@ -108,5 +114,8 @@ ORACLE = {
     "p9_found": _LEAKS + "SELECT doc_id, item_id FROM f",
     "p9_items": _LEAKS + "SELECT item_id, count(*) AS n_docs FROM f GROUP BY 1",
     "p10_found": _SHARES + "SELECT doc_id FROM s WHERE n_words >= 20 AND share >= 0.4",
+    "p10_limits": _SHARES
+    + f"""SELECT g_lang, g_source, count(*) AS n_docs, CAST(1 AS INT) AS within FROM s JOIN (SELECT doc_id, coalesce(lower(trim(source, ' ')), '') AS g_source,
+CASE lower(trim(lang, ' ')) {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in repetition.LANGUAGES.items())} ELSE coalesce(lower(trim(lang, ' ')), '') END AS g_lang FROM documents) USING (doc_id) WHERE n_words >= 20 GROUP BY ALL""",
     "p10_shares": _SHARES + "SELECT doc_id, n_words, round(share, 6) AS share FROM s",
 }

@@ -229,7 +229,7 @@ def leaked(docs, items, span=12):
     return sorted(found)
 
 
-@pytest.mark.parametrize("bound", [500_000, 0])
+@pytest.mark.parametrize("bound", [500_000, 70, 0])
 def test_leaks_against_brute_force(spark, bound):
     rng = random.Random(3)
     pool = [f"w{i}" for i in range(12)]
@@ -265,10 +265,19 @@ def test_repetition_against_brute_force(spark):
     got = {r["doc_id"]: (r["n_words"], r["share"]) for r in repetition.measured(docs.select("doc_id", "text")).collect()}
     for i, t in enumerate(texts):
         assert got[i][0] == len(spell(t)) and (got[i][1] == share(t) if share(t) is None else abs(got[i][1] - share(t)) < 1e-12)
-    found = sorted(r["doc_id"] for r in repetition.repetitive(docs).collect())
+    found = sorted(r["doc_id"] for r in repetition.repetitive(docs, exact=0.4).collect())
     assert found == [i for i, t in enumerate(texts) if len(spell(t)) >= 20 and share(t) >= 0.4]
-    twice = repetition.repetitive(docs.union(docs)).count()
+    twice = repetition.repetitive(docs.union(docs), exact=0.4).count()
     assert twice == 2 * len(found) and repetition.repetitive(docs.limit(0)).count() == 0
+    assert {r["within"] for q in (0.1, 0.5, 0.95) for r in repetition.rank_check(docs, q).collect()} == {1}
+
+
+def test_a_fixed_share_loses_no_document_above_it(spark):
+    texts = ["a b c d e f g h " * 4] * 50 + [" ".join(map(str, range(n, n + 40))) for n in range(5)] + ["a b c d e f " * 2 + " ".join(map(str, range(20)))]
+    docs = documents(spark, texts).withColumn("lang", F.lit("id")).withColumn("source", F.lit("x"))
+    for quantile in (0.01, 0.5, 1.0):
+        assert sorted(r["doc_id"] for r in repetition.repetitive(docs, quantile=quantile, exact=0.4).collect()) == list(range(50))
+    assert repetition.repetitive(docs, quantile=0.01).count() == 56
 
 
 def test_thresholds_follow_their_group(spark):
