@@ -2,16 +2,22 @@
 
 Of every window of w consecutive k-word hashes the least is kept as fingerprint,
 so two texts that share k + w - 1 consecutive words share a fingerprint. Corpus
-and test fingerprints are joined, and every hit is extended word by word.
+and test fingerprints are joined, and every hit is extended word by word, words
+being compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.llm.words import run_hashes, starts, words
-from bindery.runtime import cut, let, small, spread
+from bindery.llm.words import words
+from bindery.runtime import cut, small, spread
 
 #: Words in a leaked span; words in a fingerprint. The window follows from both.
 SPAN, GRAM = 12, 6
@@ -20,29 +26,71 @@ BROADCAST_PRINTS = 500_000
 SALT = 16
 
 
-def fingerprints(hashes: Column, window: int) -> Column:
-    """Structs (h, at) of the least hash of each window, each place once."""
-    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at")))
-    # The first least hash never moves back, so a place that is chosen again is chosen by the next window.
-    chosen = let(placed, lambda all_: F.transform(starts(all_, window), lambda i: F.array_min(F.slice(all_, i + 1, window))))
-    return let(chosen, lambda c: F.filter(c, lambda x, i: (i == 0) | (F.get(c, i - 1)["at"] != x["at"])))
-
-
-def _prints(df: DataFrame, key: str, text: str, span: int, gram: int, name: str) -> DataFrame:
-    """(name, h, around): each fingerprint with the words around it, and how many of them precede it."""
-    reach = span - gram
-
-    def around(w: Column) -> Column:
-        return F.transform(
-            let(run_hashes(w, gram), lambda hs: fingerprints(hs, reach + 1)),
-            lambda p: F.struct(
-                p["h"].alias("h"),
-                F.least(p["at"], F.lit(reach)).alias(f"{name}_before"),
-                F.slice(w, F.greatest(p["at"] - reach, F.lit(0)) + 1, F.least(p["at"], F.lit(reach)) + gram + reach).alias(f"{name}_around"),
-            ),
-        )
-
-    return df.filter(F.col(text).isNotNull()).select(F.col(key).alias(name), F.inline(let(words(F.col(text)), around)))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers, each spread over all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _word_hashes(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all rows, one after another, and where each row's begin and end. A word is hashed once in a batch."""
+    import xxhash
+
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    ends = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64))))
+    coded = pc.dictionary_encode(lists.flatten())
+    of = np.array([xxhash.xxh64_intdigest(w.encode()) for w in coded.dictionary.to_pylist()], dtype=np.uint64)
+    return of[np.asarray(coded.indices)] if len(of) else np.zeros(0, dtype=np.uint64), ends
+
+
+def fingerprints(hashes: np.ndarray, ends: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, hash) of the first least k-word hash of every window of each row, each place once."""
+    n, span = len(hashes), gram + window - 1
+    if n < span:
+        return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0, dtype=np.uint64),)
+    grams = np.zeros(n - gram + 1, dtype=np.uint64)
+    for i in range(gram):
+        grams = grams * np.uint64(0x9E3779B97F4A7C15) + hashes[i : n - gram + 1 + i]
+    grams = _mixed(grams)
+    row = np.repeat(np.arange(len(ends) - 1, dtype=np.int64), np.diff(ends))
+    begins = np.flatnonzero(np.arange(n - span + 1) + span <= ends[row[: n - span + 1] + 1])
+    least = np.lib.stride_tricks.sliding_window_view(grams, window).argmin(axis=1)[begins]
+    places = np.unique(begins + least)
+    return row[places], places, grams[places]
+
+
+def _printed(gram: int, reach: int, known: np.ndarray | None, bare: bool):
+    """A batch function from (name, words) to fingerprints with the words around them (or bare hashes); only hashes in `known`, sorted, if given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, ends = _word_hashes(batch.column(1))
+            row, at, h = fingerprints(hashes, ends, gram, reach + 1)
+            h = h.view(np.int64)
+            if bare:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(h))], names=["h"])
+                continue
+            if known is not None:
+                hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), dtype=bool)
+                row, at, h = row[hit], at[hit], h[hit]
+            first = np.maximum(at - reach, ends[row])
+            size = np.minimum(at + gram + reach, ends[row + 1]) - first
+            offsets = np.concatenate(([0], np.cumsum(size)))
+            around = hashes.view(np.int64)[np.repeat(first - offsets[:-1], size) + np.arange(offsets[-1])]
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(around, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(h, pa.int64()), pa.array(at - first, pa.int32()), lists], names=["name", "h", "before", "around"])
+
+    return run
+
+
+def _prints(df: DataFrame, key: str, text: str, span: int, gram: int, name: str, known: np.ndarray | None = None, bare: bool = False) -> DataFrame:
+    """(name, h, before, around): each fingerprint with the hashes of the words around it, and how many of them precede it; or (h) alone."""
+    read = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("name"), words(F.col(text)).alias("w"))
+    shape = "h long" if bare else f"name {read.schema['name'].dataType.simpleString()}, h long, before int, around array<long>"
+    made = read.mapInArrow(_printed(gram, span - gram, known, bare), shape)
+    return made if bare else made.select(F.col("name").alias(name), "h", F.col("before").alias(f"{name}_before"), F.col("around").alias(f"{name}_around"))
 
 
 def _extends(span: int, gram: int) -> Column:
@@ -60,15 +108,22 @@ def leaks(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM,
 
     Every such pair is found (the window guarantees a common fingerprint) and
     every pair is verified on its words. Texts that are null or shorter than
-    `span` words leak nothing. Rows are distinct. Beyond `broadcast_prints` test
-    fingerprints both sides are shuffled by hash, the corpus side salted.
+    `span` words leak nothing. Rows are distinct. Up to `broadcast_prints` test
+    fingerprints go to the corpus by broadcast. If there are more, those that no
+    document has are left out first; if there still are, both sides are shuffled
+    by hash, the corpus side salted.
     """
     tests = cut(_prints(items, item_key, text, span, gram, "item").distinct())
-    corpus = _prints(spread(docs), doc_key, text, span, gram, "doc")
+    corpus = lambda known=None, bare=False: _prints(spread(docs), doc_key, text, span, gram, "doc", known, bare)
+    if not small(tests, broadcast_prints):
+        # Bare hashes first: most test fingerprints are in no document.
+        met = cut(corpus(bare=True).distinct().join(tests.select("h").distinct(), "h"))
+        tests = cut(tests.join(met, "h", "left_semi"))
     if small(tests, broadcast_prints):
-        hits = corpus.join(F.broadcast(tests), "h")
+        hashes = tests.select("h").distinct().toPandas()["h"].to_numpy(dtype=np.int64)
+        hits = corpus(np.sort(hashes)).join(F.broadcast(tests), "h")
     else:
         salted = tests.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        # Spread by the words around: copies of a hot passage in many documents go to all salts.
-        hits = corpus.withColumn("salt", F.pmod(F.hash("doc"), F.lit(SALT))).join(salted, ["h", "salt"])
+        # Spread by document: copies of a hot passage in many documents go to all salts.
+        hits = corpus().withColumn("salt", F.pmod(F.hash("doc"), F.lit(SALT))).join(salted, ["h", "salt"])
     return hits.filter(_extends(span, gram)).select(F.col("doc").alias(doc_key), F.col("item").alias(item_key)).distinct()

@@ -9,13 +9,3 @@ from pyspark.sql import functions as F
 def words(text: Column) -> Column:
     """The words of a text in order; null and wordless texts give an empty array."""
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), F.array().cast("array<string>"))
-
-
-def starts(items: Column, width: int) -> Column:
-    """Places, from 0, at which a run of `width` items can start."""
-    return F.when(F.size(items) >= width, F.sequence(F.lit(0), F.size(items) - width)).otherwise(F.array().cast("array<int>"))
-
-
-def run_hashes(items: Column, width: int) -> Column:
-    """The hash of the run of `width` items at each place."""
-    return F.transform(starts(items, width), lambda i: F.xxhash64(F.slice(items, i + 1, width)))
