@@ -4,7 +4,7 @@ Distinct spellings are parsed into tokens, and spellings of the same tokens coun
 as one form. Tokens that differ by one typing error are found by a prefix-filtered
 join of their q-grams: of a token's padded q-grams, rarest first, the first q + 3
 hold two in common with every token an insertion, loss, change or swap away, so
-tokens meet under pairs of grams, by length. Forms meet under all their tokens
+tokens of nearly one length meet under pairs of grams. Forms meet under all their tokens
 together, each as it is or as a near one that is more frequent, and are verified
 by a soft similarity: aligned and left-over tokens count by their rarity, and a
 token with an error counts the less, the more often it is written like that.
@@ -72,10 +72,9 @@ def near_tokens(words: DataFrame, q: int = Q) -> DataFrame:
     ordered = posted.join(rarity, "g").groupBy("token").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "g"))), 1, q + 3).alias("gs"))
     two = F.flatten(F.transform("gs", lambda x, i: F.transform(F.slice(F.col("gs"), i + 2, q + 3), lambda y: F.xxhash64(x["g"], y["g"]))))
     keyed = cut(ordered.select("token", F.char_length("token").alias("n"), F.explode(two).alias("key")))
-    shorter = keyed.select(F.col("token").alias("a"), "key", F.col("n").alias("n_a"), F.explode(F.array(F.col("n"), F.col("n") + 1)).alias("n"))
-    met = shorter.join(keyed.withColumnRenamed("token", "b"), ["key", "n"]).filter((F.col("n_a") < F.col("n")) | (F.col("a") < F.col("b")))
-    near = cut(met.filter((F.levenshtein("a", "b", 1) >= 0) | _swapped(F.col("a"), F.col("b"))).select("a", "b").distinct())
-    return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    met = keyed.toDF("a", "n_a", "key").join(keyed.toDF("b", "n_b", "key"), "key").filter((F.col("a") < F.col("b")) & (F.abs(F.col("n_a") - F.col("n_b")) <= 1))
+    near = met.filter((F.levenshtein("a", "b", 1) >= 0) | _swapped(F.col("a"), F.col("b"))).select("a", "b").distinct()
+    return near.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
 
 
 def _one_error(a: str, b: str) -> bool:
@@ -237,7 +236,7 @@ def variants(df: DataFrame, nicknames: DataFrame, fields: tuple[str, ...] = ("au
     surname with an initial or a beginning of the given name joins the group it
     fits best, unless it fits several as well. An empty table gives no rows.
     """
-    spelled = _full_forms(cut(_spellings(df, fields)), nicknames, given, short)
+    spelled = _full_forms(_spellings(df, fields), nicknames, given, short)
     # Spellings of the same tokens are one form, named by the least of them.
     named = cut(spelled.select("name", F.array_sort("ts").alias("ts")).distinct())
     forms = cut(named.groupBy("ts").agg(F.min("name").alias("least"), F.count(F.lit(1)).alias("n_names")))
@@ -248,7 +247,7 @@ def variants(df: DataFrame, nicknames: DataFrame, fields: tuple[str, ...] = ("au
     higher = known.filter("df_up > df or (df_up = df and upper < token)")
     letters = F.greatest(F.char_length("token"), F.char_length("upper"))
     unlike = F.pow(1.0 / letters, 1.0 / (1.0 + (F.col("df") - 1) * F.col("df") / F.col("df_up")))
-    up = cut(higher.select("token", "upper", (unlike * F.ln(1 + F.lit(float(total)) / F.col("df_up"))).alias("loss")))
+    up = higher.select("token", "upper", (unlike * F.ln(1 + F.lit(float(total)) / F.col("df_up"))).alias("loss"))
     places = cut(_places(forms.select(F.col("least").alias("name"), "ts"), up, counts, total))
     met = cut(_meeting(places))
 

@@ -1,5 +1,6 @@
 """The text operators on small inputs: usual cases, nulls, empties, ties, repeats, clashing columns, brute force."""
 
+import itertools
 import json
 import random
 import re
@@ -97,6 +98,36 @@ def test_names_of_beginnings_that_fit_nobody(spark):
     assert groups(spark, "Studio Abe", "STUDIO ABE", "Studio Ako") == [("STUDIO ABE", "Studio Abe")]
 
 
+def test_rarity_decides():
+    similar = lambda a, b, df, total=30_000: names._similar(a.split(), b.split(), df, total)
+    df = {"judenko": 400, "judanko": 1, "kusoyewa": 4, "momosa": 2, "a": 900, "studio": 5000, "xa": 1}
+    assert similar("judenko kusoyewa", "judanko kusoyewa", df) >= names.LEAST  # written once: an error
+    assert similar("judenko kusoyewa", "judanko kusoyewa", df | {"judanko": 300}) < names.LEAST  # a name of its own
+    assert similar("judenko kusoyewa", "judenko momosa", df) < 0.5 < similar("studio kusoyewa", "kusoyewa", df)
+    assert similar("judenko kusoyewa a", "judenko kusoyewa", df) > similar("judenko kusoyewa xa", "judenko kusoyewa", df)
+    assert similar("a b", "b a", {"a": 1, "b": 1}) == 1 and similar("", "", {}) == 0
+    many = " ".join(f"w{i:03d}x" for i in range(60))
+    assert similar(many, many.replace("w007x", "w070x"), {w: 1 for i in range(60) for w in (f"w{i:03d}x",)} | {"w070x": 1}) > 0.95
+
+
+def test_assignment_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(200):
+        n = rng.randrange(1, 5)
+        gain = [[rng.choice([0, 0, 0.5, rng.random()]) for _ in range(rng.randrange(n, 6))] for _ in range(1)]
+        m = len(gain[0])
+        gain = [[rng.choice([0, 0, 0.5, rng.random()]) for _ in range(m)] for _ in range(n)]
+        best = max(sum(gain[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(m), n))
+        got = names._assigned(gain)
+        assert len(set(got)) == n and abs(sum(gain[i][j] for i, j in enumerate(got)) - best) < 1e-9
+
+
+def test_frequent_tokens_are_names_of_their_own(spark):
+    crowd = [f"{given} Sur{'abcdefghij'[i]}one{'klmnopqrst'[i]}{end}" for given, end in (("Kelano", "u"), ("Kelana", "o")) for i in range(10)]
+    assert groups(spark, "Kelano Momosa", "Kelana Momosa", *crowd) == []
+    assert groups(spark, "Kelano Momosa", "Kelana Momosa", *crowd[:10]) == [("Kelana Momosa", "Kelano Momosa")]
+
+
 def test_near_tokens_against_brute_force(spark):
     rng = random.Random(2)
     pool = {"".join(rng.choice("abk") for _ in range(rng.randrange(4, 8))) for _ in range(250)}
