@@ -5,6 +5,7 @@ anchored to the field, so a real text or title that speaks of errors, scripts or
 placeholders is none. An unfilled placeholder within a real text is found by the
 grammar of its delimiters; quoted, code and tutorial contexts are discounted, and
 a text in which such contexts prevail shows placeholders rather than lacking values.
+Error messages and notices that no pattern has are scored by their structure.
 All of it runs as JVM expressions in one pass without a shuffle.
 """
 
@@ -19,7 +20,7 @@ from bindery.sources.detail_lines import records
 _NAME = r"[A-Za-z_]\w*(?:[.\-]\w+)*"
 # Placeholder grammars by delimiter. The first list is unmistakable within a text too.
 GRAMMARS = {
-    "braces": rf"\{{\{{[-~]?\s*{_NAME}(?:\s*\|\s*\w+(?:\([^(){{}}]*\))?)*\s*[-~]?\}}\}}",
+    "braces": rf"\{{\{{[-~]?\s*{_NAME}(?: {_NAME}){{0,3}}(?:\s*\|\s*\w+(?:\([^(){{}}]*\)|:\s*(?:'[^'{{}}]*'|\"[^\"{{}}]*\"|\w+)?)?)*\s*[-~]?\}}\}}",
     "triple": rf"\{{\{{\{{\s*{_NAME}\s*\}}\}}\}}",
     "dollar": rf"\$\{{\s*{_NAME}\s*\}}",
     "hash": rf"#\{{\s*{_NAME}\s*\}}",
@@ -31,6 +32,8 @@ GRAMMARS = {
     "at": rf"@@{_NAME}@@",
     "underscores": r"__[A-Z][A-Z0-9.]*(?:_[A-Z0-9.]+)*__",
     "percents": r"%[A-Z][A-Z0-9]*(?:[._][A-Z0-9]+)*%",
+    "brace": r"(?<![\w{$#%@\\])\{[a-z]{2,}(?:_[a-z0-9]{2,})+\}(?!\})",
+    "slot": r"(?<![\w\[])\[(?:(?:FIRST|LAST|FULL|YOUR|USER|COMPANY|AUTHOR|SERIES|PRODUCT|CUSTOMER|EVENT)[ _](?:NAME|TITLE|DATE|TEXT|EMAIL|NUMBER|ADDRESS|CITY)|(?:INSERT|ENTER|ADD)(?:[ _][A-Z]+){1,4})\](?!\()",
 }
 WHOLE_GRAMMARS = [
     rf"\{{\{{?\s*{_NAME}\s*\}}?\}}?",
@@ -142,6 +145,79 @@ def _only_sentences(t: Column) -> Column:
     return (F.regexp_replace(t, NEXT, "") == "") | F.forall(parts, lambda x: x.rlike(SENTENCE))
 
 
+# --- system messages by structure -----------------------------------------------------
+
+# Words of system messages by their part in a sentence, in English, Indonesian, German, French, Spanish, Portuguese, Dutch and Italian.
+PARTS = {
+    # What a site, a script or a browser speaks of.
+    "thing": "ip upstream json token tokens backend frontend cdn ssl certificate connections requests app application links contents data aplikasi konten anwendung inhalt application contenu aplicación contenido page pages url site website webpage server database connection resource file document host gateway proxy request response address link content session cookie cookies javascript js script scripts browser browsers captcha service network dns port api endpoint halaman laman situs server peladen basis koneksi permintaan berkas sumber tautan alamat layanan peramban skrip seite seiten webseite datei datenbank verbindung anfrage dienst serveur requête ressource fichier lien adresse connexion navigateur página pagina sitio servidor solicitud recurso archivo conexión navegador enlace dirección arquivo conexão pedido bestand verbinding verzoek risorsa richiesta connessione",
+    # What went wrong with it.
+    "fault": "bad disconnected unreachable unauthorized unsupported undeliverable outage error errors err fehler erreur erro errore fout galat kesalahan found 404 403 500 502 503 504 401 400 429 unavailable forbidden denied refused reset closed timeout timed failed failure fail fails unable cannot can't couldn't could unreachable reached invalid expired exist exists missing broken down offline maintenance overloaded busy blocked unauthorized permission interrupted aborted crashed exceeded unexpected internal wrong ditemukan ditolak gagal tersedia dihubungi diakses dimuat terputus kedaluwarsa diblokir gefunden verfügbar verweigert erreichbar fehlgeschlagen abgelaufen introuvable trouvée trouvé indisponible refusé échoué expirée encontrada encontrado disponible denegado falló expiró negado falhou indisponível niet gevonden beschikbaar geweigerd mislukt trovata trovato negato disponibile accesso accès acceso acesso zugriff toegang access akses",
+    # What is said not to be.
+    "not": "n'existe n'est no not no don't doesn't didn't isn't can't cannot couldn't unable never without tidak bukan belum nicht kein keine ne pas non n'est no não niet geen",
+    # What the reader is told to do.
+    "order": "necessary einschalten solve habilitar activar aktiviere erlauben autorisez permita checking verifying enabled disabled enabling required memerlukan membutuhkan completing complete activer aktiviert désactivé activado desactivado enable turn switch activate allow reload refresh retry try contact check verify confirm prove complete login log sign wait update upgrade disable please attention required requires require needs need must aktifkan nyalakan izinkan muat coba hubungi periksa verifikasi tunggu mohon silakan harap aktivieren bitte laden versuchen activez veuillez réessayez actualisez active habilite recargue intente por favor ative atualize tente schakel probeer attiva ricarica riprova",
+    # What it is about, if the reader is told to do something.
+    "means": "secure security javascript js script scripts scripting cookie cookies browser captcha robot robots human humans bot peramban skrip kuki manusia navigateur navegador ddos cloudflare noscript adblock adblocker",
+    # Small words, places and times of such sentences.
+    "small": "looks like reach reached fetch resolved resolve processed process full functionality we're you're it's there's we've diproses angeforderte zum vom beim interne interno interna del al para por con continuar cargar pudo pueden puede podemos existe existiert functionality work works properly quickly sent received read write written find working right out too many authorized longer bad followed follow resolution remote run action below above protection terjadi memiliki demandée order uses using used only once every time first give giving correct get getting got reason problem problems issue issues something anything nothing went came show shown display displayed display view reader visitors visit visiting again anymore yet still already make sure let make takes took long short days hours minute second jam menit detik hari sini kembali halaman telah ada oleh karena agar supaya hubungi wieder später einmal noch mehr nur nach von für ihren ihrem können kann konnten werden nous pouvons peut trouver charger plus tard cette merci algo salió mal más tarde nuevo intentar pode carregar kunnen laden the a an this that these your you our we it its to of on in for at by from with and or is are was were be been being has have had will may might if when while as so then now later again soon moment seconds minutes before after more some any all there here just also but looking requested requesting trying tried access accessing continue proceed proceeding view viewing see use using support supported supports establishing establish connecting connect processing process handling loading load opening open performing perform running security check checking verifying secure administrator admin webmaster owner support team id ref code ray trace status http https www com org net php html apache nginx ubuntu iis mysql sql was did does do which who what why because due occurred occur happened encountered temporarily permanently currently moved removed deleted renamed changed available main home homepage back go return sorry oops ups whoops maaf uh-oh hmm desired specified entered typed correct properly correctly yang ini itu di ke dari untuk pada dengan dan atau anda kami lagi nanti beberapa saat sedang telah sudah dapat bisa coba kembali beranda utama die der das den dem diese dieser dieses sie ihr ihre ist sind wurde wird werden konnte auf im in zu zur und oder es la le les l un une des du de est cette ce cet votre vous n'a été sur à et ou que qui el los las una su esta este ha sido en y o se lo está a os as o um uma na no em foi is het een deze dit uw u op en of lo gli questa questo è stata stato",
+}
+_OF = {w: set() for words in PARTS.values() for w in words.split()}
+for _part, _words in PARTS.items():
+    for _w in _words.split():
+        _OF[_w].add(_part)
+
+
+# Faults that are enough beside a thing.
+STRONG = "failed failure denied refused unavailable timeout timed expired error errors interrupted closed invalid disconnected unreachable outage gagal ditolak terputus kedaluwarsa verweigert fehlgeschlagen abgelaufen fehler unterbrochen refusé refusée échoué indisponible introuvable erreur denegado falló expiró error inválida negado falhou indisponível erro geweigerd mislukt fout negato errore kesalahan galat"
+
+
+def _in(words: Column, part: str) -> Column:
+    """How many of the words have a part in system messages."""
+    table = F.array(*(F.lit(w) for w in sorted({w for w, parts in _OF.items() if part in parts})))
+    return F.size(F.array_intersect(words, table))
+
+
+#: A sentence that scores at least this is a system message: at most a tenth of its words are foreign to one.
+MESSAGE = 0.9
+
+def message_score(text: Column) -> Column:
+    """How much a short text reads like a system message, from 0 to 1.
+
+    The share of its distinct words that have a part in such messages (addresses,
+    codes and numbers are left out), if it has the structure of one: a thing with
+    a fault, a fault that is denied or has a code, or an order with the means that
+    it asks for; else 0. Words of a story or a title's names lower the share.
+    """
+    bare = F.regexp_replace(F.lower(F.replace(text, F.lit("’"), F.lit("'"))), r"(?:https?://\S+|(?<!\S)/\S+|\b[\w-]+\.(?:com|org|net|example|php|html?|aspx?|id|jp)\b)", " ")
+
+    def told(words: Column) -> Column:
+        counted = F.filter(words, lambda w: ~w.rlike(r"^(?:\d+|[0-9a-f]{6,})$"))
+        some = lambda part: _in(words, part) > 0
+        code = F.exists(words, lambda w: w.rlike(r"^[45]\d\d$"))
+        any_of = lambda text: F.arrays_overlap(words, F.array(*map(F.lit, text.split())))
+        # 'found', 'could' and their like say nothing alone: a strong fault, two, or one with a denial or a code.
+        happened = (any_of("occurred occur happened encountered terjadi aufgetreten survenue produit ocurrido ocorreu") & any_of("error errors kesalahan galat fehler erreur erro problem")) | (any_of("something") & any_of("wrong"))
+        faulty = happened | (some("thing") & some("fault") & (some("not") | code | (_in(words, "fault") >= 2) | any_of(STRONG))) | (some("thing") & some("not") & any_of("longer working isn't existe n'existe existiert connection verbindung")) | (some("thing") & any_of("many") & any_of("too")) | (code & (_in(words, "fault") >= 2))
+        barred = (F.size(counted) >= 2) & any_of("access akses zugriff accès acceso acesso toegang permission authorized") & (some("not") & (F.size(counted) >= 3) | any_of(STRONG))
+        told_to = some("means") & (F.size(counted) >= 3) & (some("order") | some("not") & any_of("available supported support enabled enable fault"))
+        guarded = _in(words, "means") - F.when(any_of("robot robots human humans bot"), 2).otherwise(0) >= 2
+        known = F.size(F.array_intersect(counted, F.array(*map(F.lit, sorted(_OF)))))
+        return F.when((faulty | barred | told_to | guarded) & (F.size(counted) >= 2), known / F.size(counted)).otherwise(0.0)
+
+    return let(F.array_distinct(F.regexp_extract_all(bare, F.lit(r"[\p{L}\p{N}]+(?:['-][\p{L}]+)*"), F.lit(0))), told)
+
+
+#: What may be a system message at all; others are not scored.
+_HINT = r"(?i)\b(?:went wrong|no longer|host|ip|api|javascript|java script|js|cookies?|captcha|browser|peramban|skrip|robot|human|cloudflare|server|serveur|servidor|database|datenbank|url|dns|gateway|page|pages|seite|página|pagina|halaman|site|website|situs|session|service|content|app|resource|ressource|link|permission|access|akses|zugriff|accès|acceso|acesso|toegang|error|errors|fehler|erreur|erro|errore|fout|galat|kesalahan|connections?|koneksi|verbindung|requests?|permintaan|[45]\d\d)\b"
+
+
+def _only_messages(t: Column) -> Column:
+    """Whether the field, or each sentence of it, scores as a system message."""
+    parts = F.array_distinct(F.filter(F.split(t, r"(?<=[.!?…])\s+|\s+[|–—]\s+|[\r\n]+"), lambda x: x.rlike(r"\p{L}|\d")))
+    return t.rlike(_HINT) & (F.size(parts) > 0) & ((message_score(t) >= MESSAGE) | F.forall(parts, lambda x: (message_score(x) >= MESSAGE) | x.rlike(SENTENCE) | x.rlike(r"(?i)^\W*(?:cloudflare|nginx|apache|(?:ray )?id\W+\w+)\W*$")))
+
+
 def residue(text: Column) -> Column:
     """Whether a field is residue, or a real text with an unfilled placeholder in it. Null and blank are none."""
 
@@ -155,7 +231,7 @@ def residue(text: Column) -> Column:
     def judged(t: Column) -> Column:
         blank = ~t.rlike(r"(?U)\S")
         placed = t.rlike(PLACED) & F.regexp_replace(t, PLACED, "").rlike(r"(?U)\A[\s.,;:\-–—/|]*\z")
-        return ~blank & (placed | _only_words(t) | _only_sentences(t) | (t.rlike(EMBEDDED) & within(t)))
+        return ~blank & (placed | _only_words(t) | _only_sentences(t) | _only_messages(t) | (t.rlike(EMBEDDED) & within(t)))
 
     return F.coalesce(let(text, judged), F.lit(False))
 
