@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from bindery.runtime import cut, kept, spread
 
-# Letters of other scripts (and Latin variants) that look like a Latin letter.
+# Letters of other scripts (and Latin variants) that look like a Latin letter as a whole, in the usual fonts:
+# Cyrillic, Greek, Armenian, Latin extensions; then Coptic, Cherokee, Lisu. Letters that only resemble one (a dot or a tail more) are not here.
 LETTERS = {
-    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜ", "N": "Ν",
-    "O": "ОΟՕ", "P": "РΡ", "Q": "Ԛ", "S": "ЅՏ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ", "Y": "УҮΥ", "Z": "Ζ",
-    "a": "аɑα", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "іι", "j": "јϳ", "l": "ӏ", "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ",
-    "s": "ѕ", "u": "ս", "v": "ѵν", "w": "ԝ", "x": "х", "y": "у",
+    "A": "АΑ" "ⲀᎪꓮ", "B": "ВΒ" "ⲂᏴꓐ", "C": "СϹ" "ⲤᏟꓚ", "D": "Ꭰꓓ", "E": "ЕΕ" "Ꭼꓰ", "F": "Ϝ" "ꓝ", "G": "Ԍ" "Ᏻꓖ", "H": "НΗ" "ⲎᎻꓧ", "I": "ІΙӀ" "Ⲓꓲ", "J": "ЈͿ" "Ꭻꓙ", "K": "КΚ" "ⲔᏦꓗ", "L": "Ꮮꓡ",
+    "M": "МΜ" "ⲘᎷꓟ", "N": "Ν" "Ⲛꓠ", "O": "ОΟՕ" "Ⲟꓳ", "P": "РΡ" "ⲢᏢꓑ", "Q": "Ԛ", "R": "ᎡᏒꓣ", "S": "ЅՏ" "ᏕᏚꓢ", "T": "ТΤ" "ⲦᎢꓔ", "U": "Ս" "ꓴ", "V": "Ѵ" "Ꮩꓦ", "W": "Ԝ" "ᎳᏔꓪ", "X": "ХΧ" "Ⲭꓫ", "Y": "УҮΥ" "ⲨᎩꓬ", "Z": "Ζ" "Ꮓꓜ",
+    "a": "аɑα", "b": "Ꮟ", "c": "сϲ" "ᴄⲥ", "d": "ԁ", "e": "е", "g": "ɡց", "h": "һհ" "Ꮒ", "i": "іι" "Ꭵ", "j": "јϳ", "k": "ĸ", "l": "ӏ", "n": "ո", "o": "оοօ" "ᴏⲟ", "p": "рρ" "ⲣ", "q": "ԛզ",
+    "s": "ѕ" "ꜱ", "u": "սυ" "ᴜ", "v": "ѵν" "ᴠ", "w": "ԝ" "ᴡ", "x": "х", "y": "уүγ", "z": "ᴢ",
 }
 # Characters outside the format category (Cf) that show nothing.
 UNSEEN = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
@@ -174,6 +175,13 @@ def variants(rows: DataFrame) -> DataFrame:
     return known.join(several, ["fld", "look"]).select("fld", "look", "text")
 
 
+def members(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("judul", "alternative_title")) -> DataFrame:
+    """(fld, look, id, text): the records of each class of texts that look the same, one row per record and field; no pairs are made."""
+    rows = fields_of(df, key, fields).filter("id is not null").distinct()
+    known = variants(rows)
+    return rows.join(known, ["fld", "text"]).select("fld", "look", "id", "text")
+
+
 def pairs(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("judul", "alternative_title")) -> DataFrame:
     """(fld, id_a, id_b), id_a < id_b: records whose field looks the same but differs in some character.
 

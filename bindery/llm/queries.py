@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,13 @@ def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.variants(rows).groupBy("fld", "look").agg(F.count(F.lit(1)).alias("n_texts"), F.min("text").alias("least"), F.max("text").alias("greatest")).drop("look")
 
 
+def p1_members(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of every record whose field looks like another's: the class is named by its least record."""
+    found = lookalike.members(table(spark, folder, "komik"))
+    named = found.groupBy("fld", "look").agg(F.min("id").alias("class_id"))
+    return found.join(named, ["fld", "look"]).select("fld", "class_id", "id")
+
+
 def _variants(spark: SparkSession, folder: str) -> DataFrame:
     return names.variants(table(spark, folder, "komik"), table(spark, folder, "nicknames"))
 
@@ -81,11 +90,17 @@ def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     return measured.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p2_found, p2_groups, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_limits, p10_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p1_members, p2_found, p2_groups, p6_found, p6_clean, p8_ids, p8_roundtrip, p9_found, p9_items, p10_found, p10_adaptive, p10_limits, p10_shares)}
 
-_NARROW = {chr(c): lookalike._width(chr(c)) for c in range(0xFF01, 0xFFDD) if lookalike._width(chr(c))}
-_FROM = "".join(o for others in lookalike.LETTERS.values() for o in others) + "".join(_NARROW)
-_TO = "".join(a * len(others) for a, others in lookalike.LETTERS.items()) + "".join(_NARROW.values())
+# Full-width forms stand 0xFEE0 behind their narrow ones; half-width kana by their own compatibility form.
+_NARROW = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFF61, 0xFFA0)}
+# The look-alike letters that the tables hold, told apart from the operator's table: by their code points.
+_SEEN = {
+    "A": "0410 0391", "B": "0412 0392", "C": "0421 03F9", "E": "0415 0395", "H": "041D 0397", "I": "0406 0399", "J": "0408", "K": "041A 039A", "M": "041C 039C", "N": "039D", "O": "041E 039F", "P": "0420 03A1", "S": "0405",
+    "T": "0422 03A4", "X": "0425 03A7", "Y": "0423 03A5", "Z": "0396", "a": "0430 0251", "c": "0441 03F2", "d": "0501", "e": "0435", "h": "04BB", "i": "0456", "j": "0458", "o": "043E 03BF 0585", "p": "0440 03C1", "s": "0455", "x": "0445", "y": "0443",
+}
+_FROM = "".join(chr(int(n, 16)) for ns in _SEEN.values() for n in ns.split()) + "".join(_NARROW)
+_TO = "".join(a * len(ns.split()) for a, ns in _SEEN.items()) + "".join(_NARROW.values())
 _LOOKS = rf"""
 WITH f AS (SELECT id, 'judul' AS fld, judul AS t FROM komik UNION SELECT id, 'alternative_title', alternative_title FROM komik),
 s AS (SELECT id, fld, t, nfc_normalize(translate(regexp_replace(t, '[\p{{Cf}}\x{{034F}}]', '', 'g'), '{_FROM.replace("'", "''")}', '{_TO.replace("'", "''")}')) AS n FROM f),
@@ -110,6 +125,8 @@ s AS (SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CASE WHEN c
 ORACLE = {
     "p1_found": _LOOKS + "SELECT DISTINCT a.fld, a.id AS id_a, b.id AS id_b FROM v a JOIN v b ON a.fld = b.fld AND a.look = b.look AND a.id < b.id AND a.t <> b.t",
     "p1_classes": _LOOKS + "SELECT fld, count(DISTINCT t) AS n_texts, min(t) AS least, max(t) AS greatest FROM v GROUP BY fld, look HAVING count(DISTINCT t) > 1",
+    "p1_members": _LOOKS
+    + """, c AS (SELECT fld, look, min(id) AS class_id FROM v GROUP BY fld, look HAVING count(DISTINCT t) > 1) SELECT v.fld, class_id, v.id FROM v JOIN c ON c.fld = v.fld AND c.look = v.look""",
     "p8_roundtrip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p9_found": _LEAKS + "SELECT doc_id, item_id FROM f",
     "p9_items": _LEAKS + "SELECT item_id, count(*) AS n_docs FROM f GROUP BY 1",

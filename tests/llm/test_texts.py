@@ -44,10 +44,16 @@ def test_looks_of_scripts_marks_and_widths(spark):
     assert looks(spark, "x²", "x2", "I", "l", "™", "TM") == []
     assert looks(spark, "a", "a", "а", None, "", " ", "​") == [(0, 2), (1, 2)]
     assert looks(spark) == []
+    assert looks(spark, "հotel", "hotel", "γou υnit", "you unit", "ցhost", "ghost", "ᎪᏴᏟ", "ꓮꓐꓚ", "ⲀⲂⲤ", "ABC", "Abc") == [(0, 1), (2, 3), (4, 5)] + [(i, j) for i in range(6, 10) for j in range(i + 1, 10)]
     long = "ab " * 40_000
     assert looks(spark, long, long.replace("a", "а")) == [(0, 1)]
 
 
+def test_members_of_classes(spark):
+    df = spark.createDataFrame([(i, t, None, "x", "y") for i, t in enumerate(["a", "a", "а", "b", None])], "id long, judul string, alternative_title string, look string, fld string")
+    assert sorted((r["id"], r["fld"]) for r in lookalike.members(df).collect()) == [(0, "judul"), (1, "judul"), (2, "judul")]
+
+
 def test_representatives_follow_frequency():
     table = lookalike.rewriting({"о": 9, "o": 2, "a": 5, "а": 1, " ": 1})
     assert table["o"] == "о" and table["а"] == "a" and "a" not in table
