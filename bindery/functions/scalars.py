@@ -93,9 +93,14 @@ def series_url(slug: Column, site: Site = Site()) -> Column:
     return F.concat(F.lit(site.base_url + site.series_path), slug, F.lit("/"))
 
 
+def timestamped(prefix: str, at: Column, extension: str = ".jsonl") -> Column:
+    """A file name with its time: prefix_yyyyMMdd_HHmmss."""
+    return F.concat(F.lit(f"{prefix}_"), F.date_format(at, "yyyyMMdd_HHmmss"), F.lit(extension))
+
+
 def masked_url(url: Column) -> Column:
-    """A connection address without its password; '' is told as unset, files as they are."""
-    return F.when(url.isNull() | (url == ""), "(not set)").otherwise(F.regexp_replace(url, r"://([^:/@]+):[^@]*@", "://$1:***@"))
+    """A connection address without its password; '' is told as unset, a file by its beginning."""
+    return F.when(url.isNull() | (url == ""), "(not set)").when(url.startswith("file:"), F.concat(F.substring(url, 1, 30), F.lit("... (SQLite)"))).otherwise(F.regexp_replace(url, r"://([^:/@]+):[^@]*@", "://$1:***@"))
 
 
 # --- texts -----------------------------------------------------------------
@@ -170,10 +175,6 @@ def log_length(text: Column) -> Column:
     return F.least(F.log1p(F.char_length(text)) / 6, F.lit(1.0))
 
 
-def capped(value: Column, most: float) -> Column:
-    return F.least(value / F.lit(float(most)), F.lit(1.0))
-
-
 def is_content_image(url: Column, site: Site = Site()) -> Column:
     lower = F.lower(url)
     some = lambda marks: F.exists(F.array(*(F.lit(m) for m in marks)), lambda m: F.contains(lower, m))

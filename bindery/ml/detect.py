@@ -8,22 +8,32 @@ from pyspark.sql import functions as F
 from bindery.functions import scalars as S
 from bindery.functions.dims import Site, status_id, status_name
 from bindery.ml import evaluate
-from bindery.ml.features import FIELDS, features
+from bindery.ml.features import CANDIDATES, FIELDS, features
 from bindery.ml.model import Network, scores
 from bindery.operators import extract
+from bindery.operators.dom import with_dom
 
 SINGLE = ("title", "rating", "synopsis", "alt_title", "author", "status")
 MULTI = ("genre", "similar", "chapters")
 
 
 def detections(pages: DataFrame, key: str, network: Network, strict: bool = True) -> DataFrame:
-    """(key, field, pos, score, text, tag, href): every element above its field's threshold (strictly, if `strict`)."""
-    scored = scores(features(pages, key), network)
-    cells = F.array(*(F.struct(F.lit(f).alias("field"), F.col("probs")[i].alias("score"), F.lit(network.thresholds[i]).alias("least")) for i, f in enumerate(FIELDS)))
+    """(key, field, pos, score, text, tag, href): every element of a candidate tag with text that is above its field's threshold (strictly, if `strict`)."""
+    listed = features(pages, key).filter(F.col("tag").isin(*CANDIDATES) & (F.col("text") != ""))
+    scored = scores(listed, network)
+    cells = F.array(*(F.struct(F.lit(f).alias("field"), F.col("probs")[i].alias("score"), F.lit(network.thresholds[i]).alias("least")) for i, f in enumerate(network.fields)))
     rows = scored.select(key, "pos", "text", "tag", "href", F.inline(cells))
     return rows.filter(F.col("score") > F.col("least") if strict else F.col("score") >= F.col("least")).drop("least")
 
 
+def detect_all(pages: DataFrame, key: str, network: Network, field: str, least: float = 0.0) -> DataFrame:
+    """(key, rank, score, text, tag, href): what is detected for one field with a score of at least `least`, best first; the best alone is rank 1."""
+    found = detections(pages, key, network).filter((F.col("field") == field) & (F.col("score") >= least))
+    item = F.struct((-F.col("score")).alias("s"), "pos", F.struct("score", "text", "tag", "href").alias("d"))
+    lists = found.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("found"))
+    return lists.select(key, F.posexplode("found").alias("rank", "x")).select(key, (F.col("rank") + 1).alias("rank"), "x.d.*")
+
+
 def detect(pages: DataFrame, key: str, network: Network, site: Site = Site()) -> DataFrame:
     """One row per page with any detection: single fields as the best element's cleaned text, the others as arrays, best first."""
     found = detections(pages, key, network)
@@ -35,15 +45,23 @@ def detect(pages: DataFrame, key: str, network: Network, site: Site = Site()) ->
 
 
 def details_with_model(pages: DataFrame, key: str, network: Network, site: Site = Site()) -> DataFrame:
-    """As extract.details: for each single field what the detector says, else what the selectors find.
+    """As extract.details: for each field what the detector says, else what the selectors find.
 
-    Chapters, similar series and genres keep the selectors' chain, which the detector only confirms.
+    Of detected genres the texts count, of similar series and chapters the links; a
+    link that names no series or chapter is none. The thumbnail has a chain of its own.
     """
     own = extract.details(pages, key, site)
-    told = detect(pages, key, network, site).select(key, *(F.col(f).alias(f"_{f}") for f in SINGLE))
+    images = with_dom(pages).select(key, extract.model_thumbnail(site).alias("_thumb"))
+    told = detect(pages, key, network, site).join(images, key, "right").select(key, "_thumb", *(F.col(f).alias(f"_{f}") for f in (*SINGLE, *MULTI)))
     joined = own.join(told, key, "left")
     by = {"judul": S.or_null(F.col("_title")), "sinopsis": S.or_null(S.synopsis(F.col("_synopsis"), site)), "rating": S.number(F.col("_rating")), "alternative_title": S.or_null(F.col("_alt_title")), "author": S.or_null(F.col("_author")), "status_id": status_id(site, F.col("_status"))}
-    return joined.select(*(F.coalesce(by[c], F.col(c)).alias(c) if c in by else F.col(c) for c in own.columns))
+    some = lambda a: F.when(F.size(a) > 0, a)
+    by["genre_list"] = some(F.filter(F.transform("_genre", lambda x: S.strip(x["text"])), lambda t: t != ""))
+    by["similar"] = some(extract.first_distinct(F.transform("_similar", lambda x: F.struct(S.slug_of(x["href"], site).alias("slug"), S.or_null(S.strip(x["text"])).alias("judul"))), "slug"))
+    by["chapters"] = some(extract.numbered(F.transform("_chapters", lambda x: F.struct(S.rooted(F.nullif(x["href"], F.lit("")), site).alias("url"), x["text"].alias("t")))))
+    by |= {f"thumb_{n}": F.coalesce(F.col(f"_thumb.{n}"), F.col(f"thumb_{n}")) for n in ("domain_id", "path")}
+    found = joined.select(*(F.coalesce(by[c], F.col(c)).alias(c) if c in by else F.col(c) for c in own.columns))
+    return found.withColumn("latest_chapter_number", F.get("chapters", F.lit(0))["number"])
 
 
 def _verdicts(site: Site) -> dict[str, Column]:

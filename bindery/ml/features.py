@@ -19,6 +19,7 @@ NAMES = [
     *"href_contains_chapter is_inside_mirip_or_bxcl has_class_lchx_or_series text_contains_chapter".split(),
     *"contains_rating_float contains_chapter_number contains_year normalized_document_position".split(),
 ]
+CANDIDATES = ("h1", "h2", "h3", "span", "div", "a", "td", "i", "meta", "p", "b", "strong", "label", "section", "article")
 NO_CANDIDATES = ("script", "style", "meta", "link", "noscript", "head")
 FIELDS = ("title", "rating", "genre", "synopsis", "alt_title", "author", "status", "similar", "chapters")
 FONTS = {"h1": 1.0, "h2": 0.8, "h3": 0.6, "h4": 0.5, "h5": 0.4, "h6": 0.3}
@@ -118,6 +119,13 @@ def truths(pages: DataFrame, key: str, chapter_mark: str = "-chapter-") -> DataF
     return with_dom(pages).select(key, F.inline(F.array(*cells))).select(key, "field", F.explode("pres").alias("pre"))
 
 
+def labelled_single(pages: DataFrame, key: str, field: str) -> DataFrame:
+    """(key, pre, features, labels): as `labelled`, with the one label of `field`; pages without its truth are left out."""
+    known = truths(pages, key).filter(F.col("field") == field).select(key, "pre").distinct().withColumn("_y", F.lit(1))
+    rows = features(pages, key).join(known.select(key).distinct(), key, "left_semi").join(known, [key, "pre"], "left")
+    return rows.select(key, "pre", "features", F.array(F.coalesce("_y", F.lit(0))).alias("labels"))
+
+
 def labelled(pages: DataFrame, key: str) -> DataFrame:
     """(key, pre, features, labels): labels is an array of 0/1 in the order of FIELDS. Pages without any truth are left out."""
     known = truths(pages, key).groupBy(key, "pre").agg(F.collect_set("field").alias("fields"))

@@ -7,17 +7,42 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bindery.runtime import cut
+
 #: At most this many rows train the network; a documented bound, drawn by hash.
 TRAIN_ROWS = 200_000
 
 
+def positives(rows: DataFrame, fields: list[str], column: str = "labels") -> DataFrame:
+    """(field, n_positive, n_rows, ratio) of every label; the ratio is 0 without rows."""
+    cells = F.array(*(F.struct(F.lit(f).alias("field"), F.col(column)[i].alias("y")) for i, f in enumerate(fields)))
+    counts = rows.select(F.inline(cells)).groupBy("field").agg(F.count_if(F.col("y") == 1).alias("n_positive"), F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("ratio", F.coalesce(F.try_divide(F.col("n_positive") * 1.0, "n_rows"), F.lit(0.0)))
+
+
+def exact_split(rows: DataFrame, key: list[str], stratum: Column, share: float = 0.8, seed: int = 42) -> DataFrame:
+    """`rows` with is_train: the rows of the first `share` of each stratum (rounded up) in the order of a hash of the key.
+
+    Whole strata are never sorted in one task: a place is the number of rows in the
+    hash ranges before and the rank within its own. Keys must be distinct and not null.
+    """
+    bins = 4096
+    hashed = cut(rows.withColumns({"_s": stratum.cast("int"), "_h": F.xxhash64(F.lit(seed), *key)}).withColumn("_b", F.pmod("_h", F.lit(bins).cast("long"))))
+    sizes = hashed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # At most `bins` rows for a stratum.
+    run = Window.partitionBy("_s").orderBy("_b")
+    before = sizes.select("_s", "_b", (F.sum("_n").over(run) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy("_s")).alias("_all"))
+    ranked = hashed.withColumn("_r", F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", *key))).join(F.broadcast(before), ["_s", "_b"])
+    return ranked.withColumn("is_train", F.col("_before") + F.col("_r") <= F.ceil(F.col("_all") * share)).select(*rows.columns, "is_train")
+
+
 def split(rows: DataFrame, key: list[str], stratum: Column, share: float = 0.8, seed: int = 42) -> DataFrame:
     """`rows` with is_train: by a hash of the key, so each stratum keeps its proportion and a row its side.
 
-    Ranks within a stratum would need a sort of each; the hash needs no shuffle.
+    The proportion is kept up to chance, and nothing is shuffled; exact_split keeps it to the row.
     """
     place = F.pmod(F.xxhash64(F.lit(seed), stratum.cast("int"), *key), F.lit(1_000_000))
     return rows.withColumn("is_train", place < int(share * 1_000_000))
@@ -110,6 +135,13 @@ def train(rows: DataFrame, fields: list[str], mean: list[float], scale: list[flo
     return Network(mean, scale, [w.tolist() for w in kept[::2]], [b.tolist() for b in kept[1::2]], list(fields), [0.5] * len(fields))
 
 
+def train_single(rows: DataFrame, field: str, fields: list[str], width: int, **options) -> Network:
+    """A network for one field of labelled rows: its own scaler, oversampling and one output."""
+    own = rows.withColumn("labels", F.array(F.col("labels")[fields.index(field)]))
+    mean, scale = scaler(own, width)
+    return train(oversampling(own, 1), [field], mean, scale, **({"hidden": (64, 32)} | options))
+
+
 def scores(rows: DataFrame, network: Network, column: str = "features") -> DataFrame:
     """`rows` with probs: one matrix product per Arrow batch."""
     net = network

@@ -21,10 +21,13 @@ def _dom() -> Column:
     return F.col("dom")
 
 
-def _first_distinct(items: Column, key: str) -> Column:
+def first_distinct(items: Column, key: str) -> Column:
     """Structs whose key no earlier one has; null keys go."""
     known = F.filter(items, lambda x: x[key].isNotNull())
-    return let(known, lambda a: let(F.transform(a, lambda x: x[key]), lambda keys: F.filter(a, lambda x, i: F.array_position(keys, x[key]) == i + 1)))
+    # Equal keys stand together in the sorted array, the first place of each before the others.
+    placed = F.array_sort(F.transform(known, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"), x.alias("x"))))
+    firsts = let(placed, lambda p: F.filter(p, lambda y, j: (j == 0) | (F.get(p, j - 1)["k"] != y["k"])))
+    return F.transform(F.array_sort(F.transform(firsts, lambda y: F.struct(y["i"].alias("i"), y["x"].alias("x")))), lambda y: y["x"])
 
 
 def _hrefs(nodes: Column) -> Column:
@@ -36,7 +39,7 @@ def list_slugs(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:
     tips = all_of(_dom(), "a.tip")
     links = F.when(F.size(tips) > 0, tips).otherwise(all_of(_dom(), f"a[href*='{site.series_path}']"))
     found = F.transform(_hrefs(links), lambda h: F.struct(F.when(h.contains(site.series_path), S.slug_of(h, site)).alias("slug")))
-    return with_dom(pages).select(key, F.posexplode(_first_distinct(found, "slug")).alias("pos", "s")).select(key, "pos", "s.slug")
+    return with_dom(pages).select(key, F.posexplode(first_distinct(found, "slug")).alias("pos", "s")).select(key, "pos", "s.slug")
 
 
 def _kind(node: Column) -> Column:
@@ -49,6 +52,19 @@ def _thumbnail(site: Site) -> Column:
     return let(F.coalesce(src, marked), lambda u: S.thumbnail(u, site))
 
 
+def model_thumbnail(site: Site = Site()) -> Column:
+    """struct(domain_id, path) of the first image, by the detector's chain of places, whose address has a known domain."""
+    paths = (("div.thumb", "img"), ("div.imgdesc", "img"), ("img.wp-post-image",))
+    return F.coalesce(*(let(first_attr(_dom(), "src", *p), lambda u: let(S.thumbnail(u, site), lambda t: F.when(t["domain_id"] > 0, t))) for p in paths))
+
+
+def numbered(links: Column) -> Column:
+    """Distinct (number, url) of structs (url, t), greatest number first (equal numbers in order); without a number they are none."""
+    found = F.transform(first_distinct(links, "url"), lambda r: F.struct(S.chapter_number(r["t"], r["url"]).alias("number"), r["url"].alias("url")))
+    placed = F.transform(F.filter(found, lambda r: r["number"].isNotNull()), lambda r, i: F.struct((-r["number"]).alias("k"), i.alias("i"), r["number"].alias("number"), r["url"].alias("url")))
+    return F.transform(F.array_sort(placed), lambda r: F.struct(r["number"].alias("number"), r["url"].alias("url")))
+
+
 def _labelled() -> Column:
     """array(struct(label, value)) of the spans with a bold label in the info block."""
 
@@ -94,9 +110,7 @@ def _chapters(site: Site) -> Column:
     marked = f"a[href*='{site.chapter_mark}']"
 
     def of(links: Column) -> Column:
-        rows = F.transform(links, lambda n: F.struct(S.rooted(F.nullif(attr(n, "href"), F.lit("")), site).alias("url"), text(_dom(), n).alias("t")))
-        numbered = F.transform(_first_distinct(rows, "url"), lambda r: F.struct(S.chapter_number(r["t"], r["url"]).alias("number"), r["url"].alias("url")))
-        return F.filter(numbered, lambda r: r["number"].isNotNull())
+        return numbered(F.transform(links, lambda n: F.struct(S.rooted(F.nullif(attr(n, "href"), F.lit("")), site).alias("url"), text(_dom(), n).alias("t"))))
 
     def within(container: str) -> list[Column]:
         box = first_of(_dom(), container)
@@ -105,9 +119,7 @@ def _chapters(site: Site) -> Column:
         return [of(all_of(_dom(), marked, box)), of(inner)]
 
     tries = [*within("div.bxcl"), *within("div#chapter_list"), of(all_of(_dom(), marked))]
-    found = F.coalesce(*(let(t, lambda a: F.when(F.size(a) > 0, a)) for t in tries), F.array().cast(_CHAPTER))
-    placed = F.transform(found, lambda r, i: F.struct((-r["number"]).alias("k"), i.alias("i"), r["number"].alias("number"), r["url"].alias("url")))
-    return F.transform(F.array_sort(placed), lambda r: F.struct(r["number"].alias("number"), r["url"].alias("url")))
+    return F.coalesce(*(let(t, lambda a: F.when(F.size(a) > 0, a)) for t in tries), F.array().cast(_CHAPTER))
 
 
 def _similar(site: Site) -> Column:
@@ -120,7 +132,7 @@ def _similar(site: Site) -> Column:
         named = let(h3, lambda h: let(head(F.filter(nodes_in(h), lambda n: n["tag"] == "a")), lambda a: F.nullif(text(_dom(), a), F.lit(""))))
         return F.struct(S.slug_of(attr(link, "href"), site).alias("slug"), named.alias("judul"))
 
-    return _first_distinct(F.transform(all_of(_dom(), "li", first_of(_dom(), "div#mirip")), one), "slug")
+    return first_distinct(F.transform(all_of(_dom(), "li", first_of(_dom(), "div#mirip")), one), "slug")
 
 
 def details(pages: DataFrame, key: str, site: Site = Site()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bindery.functions.scalars import gap
-from bindery.runtime import bounded_broadcast
+from bindery.runtime import bounded_broadcast, cut
 
 
 def classify(feed: DataFrame, stored: DataFrame, fallback: DataFrame | None = None, key: str = "slug", value: str = "latest", item: str = "number") -> DataFrame:
@@ -33,10 +33,11 @@ def action_counts(classified: DataFrame) -> DataFrame:
 def until_old(items: DataFrame, most_minutes: int, page: str = "page", place: str = "place", age: str = "minutes") -> DataFrame:
     """Items of the pages up to the first whose last item is too old; of that page only the young ones.
 
-    A missing (empty) page ends the feed too. The pages are few next to the items:
-    one row per page is ranked, and joined back.
+    A missing (empty) page ends the feed too. Items are aggregated once to a row per
+    page, which is written; these rows (as many as the feed has pages) are ranked in
+    one task and joined back.
     """
-    pages = items.groupBy(page).agg(F.max_by(age, place).alias("_last"))
+    pages = cut(items.groupBy(page).agg(F.max_by(age, place).alias("_last")))
     ranked = pages.withColumn("_i", F.row_number().over(Window.orderBy(page)))
     first = ranked.agg(F.min(page).alias("_first"), F.min(F.when(F.col("_last") >= most_minutes, F.col(page))).alias("_cut")).select("_first", "_cut")
     bounds = ranked.join(F.broadcast(first))

@@ -1,7 +1,8 @@
 """Keyed merges of a delta into a base table, as plans; nothing is written here.
 
 A merge never shuffles on a surrogate: both sides meet on the natural key. A delta
-within a counted bound is broadcast, so the base is not shuffled at all.
+within a counted bound is broadcast, so the base is not shuffled at all. It is
+written once first: what makes it does not run again to be counted and used.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bindery.runtime import bounded_broadcast
+from bindery.runtime import bounded_broadcast, cut
 
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -41,6 +42,7 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], preserve: bool =
     its nulls; with `preserve` nulls keep the old values. A null key matches nothing.
     """
     if not preserve:
+        delta = cut(delta)
         kept = base.join(bounded_broadcast(delta.select(*keys)), keys, "left_anti")
         return kept.unionByName(delta, allowMissingColumns=True)
     old = base.select(*keys, F.struct(*(c for c in base.columns if c not in keys)).alias("_old"))
@@ -61,19 +63,22 @@ def replace_sets(base: DataFrame, delta: DataFrame, owner: str, owners: DataFram
 
     Owners in `owners` without rows in `delta` lose all. Repeated rows count once.
     """
-    touched = (delta if owners is None else owners).select(owner).distinct()
+    touched = cut((delta if owners is None else owners).select(owner).distinct())
     return base.join(bounded_broadcast(touched), owner, "left_anti").unionByName(delta.dropDuplicates())
 
 
-def changed_sets(base: DataFrame, delta: DataFrame, owner: str, member: str) -> DataFrame:
-    """(owner): owners of `delta` whose distinct members differ from those in `base`."""
+def changed_sets(base: DataFrame, delta: DataFrame, owner: str, member: str, owners: DataFrame | None = None) -> DataFrame:
+    """(owner): owners in `owners` (those of `delta` if not given) whose distinct members in `delta` differ from those in `base`; no members equal no members."""
     of = lambda df, name: df.groupBy(owner).agg(F.sort_array(F.collect_set(member)).alias(name))
-    return of(delta, "_new").join(of(base, "_old"), owner, "left").filter(~F.col("_new").eqNullSafe(F.col("_old"))).select(owner)
+    asked = of(delta, "_new") if owners is None else owners.select(owner).distinct().join(of(delta, "_new"), owner, "left")
+    none = F.array().cast(asked.schema["_new"].dataType)
+    differ = ~F.coalesce("_new", none).eqNullSafe(F.coalesce("_old", none))
+    return asked.join(of(base, "_old"), owner, "left").filter(differ).select(owner)
 
 
 def monotone(base: DataFrame, delta: DataFrame, key: str, column: str) -> DataFrame:
     """`base` with `column` raised to the delta's greatest value of the key where that is greater or the old one is null."""
-    new = delta.groupBy(key).agg(F.max(column).alias("_new"))
+    new = cut(delta.groupBy(key).agg(F.max(column).alias("_new")))
     joined = base.join(bounded_broadcast(new), key, "left")
     return joined.withColumn(column, F.when(raised(F.col(column), F.col("_new")), F.col("_new")).otherwise(F.col(column))).select(*base.columns)
 
@@ -84,13 +89,13 @@ def raised(old: Column, new: Column) -> Column:
 
 def monotone_count(base: DataFrame, delta: DataFrame, key: str, column: str) -> DataFrame:
     """(n_affected): rows that `monotone` changes."""
-    new = delta.groupBy(key).agg(F.max(column).alias("_new"))
+    new = cut(delta.groupBy(key).agg(F.max(column).alias("_new")))
     return base.join(bounded_broadcast(new), key).agg(F.count_if(raised(F.col(column), F.col("_new"))).alias("n_affected"))
 
 
 def cascade(children: DataFrame, deleted: DataFrame, foreign: str, key: str) -> DataFrame:
     """Children whose parent is not among `deleted`."""
-    return children.join(bounded_broadcast(deleted.select(F.col(key).alias(foreign)).distinct()), foreign, "left_anti")
+    return children.join(bounded_broadcast(cut(deleted.select(F.col(key).alias(foreign)).distinct())), foreign, "left_anti")
 
 
 def with_ids(df: DataFrame, base_max: int, natural: list[str], id_column: str = "id") -> DataFrame:
@@ -100,8 +105,6 @@ def with_ids(df: DataFrame, base_max: int, natural: list[str], id_column: str =
     partitions' offsets come from their counts. No single task sorts everything.
     """
     spread = df.repartitionByRange(*(F.col(c) for c in natural)).sortWithinPartitions(*natural).withColumn("_p", F.spark_partition_id())
-    from bindery.runtime import cut
-
     spread = cut(spread.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*natural))))
     counts = spread.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
     # One row per partition.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,7 +13,9 @@ from bindery.functions.dims import Site, extension_name, genre_ids, lookup, stat
 from bindery.ml import evaluate
 from bindery.operators import extract, feed, merge, read
 from bindery.operators.dom import node_table, with_dom
-from bindery.runtime import spread
+from bindery.plans.pipelines import load, raise_latest
+from bindery.plans.store import Store
+from bindery.runtime import shared_folder, spread
 from bindery.sources.detail_lines import items, objects, records
 from bindery.sources.pages import judged
 from bindery.sources.tables import table
@@ -298,10 +301,10 @@ def replace_sets(spark, folder):
     return merge.replace_sets(base, members, "komik_id", owners)
 
 
-@query(_SETS + "SELECT komik_id FROM (SELECT komik_id, list_sort(list(genre_id)) AS g FROM m GROUP BY 1) a LEFT JOIN (SELECT komik_id, list_sort(list(genre_id)) AS g FROM b GROUP BY 1) c USING (komik_id) WHERE a.g IS DISTINCT FROM c.g")
+@query(_SETS + "SELECT komik_id FROM (SELECT DISTINCT komik_id FROM o) LEFT JOIN (SELECT komik_id, list_sort(list(genre_id)) AS g FROM m GROUP BY 1) a USING (komik_id) LEFT JOIN (SELECT komik_id, list_sort(list(genre_id)) AS h FROM b GROUP BY 1) c USING (komik_id) WHERE a.g IS DISTINCT FROM c.h")
 def changed_sets(spark, folder):
-    base, members, _ = _sets(spark, folder)
-    return merge.changed_sets(base, members, "komik_id", "genre_id")
+    base, members, owners = _sets(spark, folder)
+    return merge.changed_sets(base, members, "komik_id", "genre_id", owners)
 
 
 def _raise(spark, folder):
@@ -321,9 +324,11 @@ def monotone_affected(spark, folder):
     return merge.monotone_count(base, delta, "id", "latest")
 
 
-@query("SELECT id, komik_id FROM chapters WHERE komik_id NOT IN (SELECT komik_id FROM komik_deleted)")
+@query("SELECT id, komik_id FROM chapters WHERE komik_id NOT IN (SELECT komik_id FROM komik_deleted UNION SELECT id FROM komik WHERE status_id = 2) OR komik_id IS NULL")
 def cascade_delete(spark, folder):
-    return merge.cascade(table(spark, folder, "chapters").select("id", "komik_id"), table(spark, folder, "komik_deleted").select(F.col("komik_id").alias("gone")), "komik_id", "gone")
+    """Chapters without those of series that are deleted, taking the completed series as deleted too (no chapter of a deleted one is stored)."""
+    gone = table(spark, folder, "komik_deleted").select(F.col("komik_id").alias("gone")).unionByName(table(spark, folder, "komik").filter("status_id = 2").select(F.col("id").alias("gone")))
+    return merge.cascade(table(spark, folder, "chapters").select("id", "komik_id"), gone, "komik_id", "gone")
 
 
 @query("SELECT (SELECT max(id) FROM komik) + row_number() OVER (ORDER BY slug COLLATE C) AS id, slug FROM (SELECT DISTINCT slug FROM komik_deleted)".replace(" COLLATE C", ""))
@@ -365,6 +370,16 @@ def classify_feed(spark, folder):
     return feed.classify(_feed(spark, folder), table(spark, folder, "komik").select("slug", F.col("latest_chapter_number").alias("latest")))
 
 
+@query(_REC + """, i AS (SELECT d->>'$.slug' AS slug, try_cast(d->>'$.latest_chapter_number' AS DOUBLE) AS number FROM n WHERE d->>'$._status' IS NULL),
+w AS (SELECT slug, number, CASE WHEN a.slug_a IS NOT NULL THEN a.s ELSE b.s END AS stored_latest FROM i LEFT JOIN (SELECT slug AS slug_a, latest_chapter_number AS s FROM komik WHERE status_id = 1) a ON a.slug_a = i.slug LEFT JOIN (SELECT slug AS slug_b, CAST(chapter_count AS DOUBLE) AS s FROM komik) b ON b.slug_b = i.slug WHERE number IS NOT NULL)
+SELECT *, CASE WHEN stored_latest IS NULL THEN 'new' WHEN number <= stored_latest THEN 'skipped' ELSE 'updated' END AS action, CASE WHEN number > stored_latest THEN CAST(trunc(number) AS BIGINT) - CAST(trunc(stored_latest) AS BIGINT) END AS gap FROM w""")
+def classify_two_sources(spark, folder):
+    """The feed against running series, and for slugs that are not among them against the chapter counts of all."""
+    rows = table(spark, folder, "komik")
+    stored = rows.filter("status_id = 1").select("slug", F.col("latest_chapter_number").alias("latest"))
+    return feed.classify(_feed(spark, folder), stored, rows.select("slug", F.col("chapter_count").cast("double").alias("latest")))
+
+
 @query(_CLASSIFY + "SELECT count(*) FILTER (action = 'new') AS n_new, count(*) FILTER (action = 'updated') AS n_updated, count(*) FILTER (action = 'skipped') AS n_skipped FROM c")
 def classify_counts(spark, folder):
     return feed.action_counts(classify_feed(spark, folder))
@@ -635,6 +650,118 @@ def page_similar(spark, folder):
     return extract.details(pages(spark, folder), "line_id", SITE).select("line_id", F.explode("similar").alias("s")).select("line_id", "s.slug")
 
 
+def _cards(spark: SparkSession, folder: str, html: Column) -> DataFrame:
+    return _records(spark, folder).select("line_id", html.alias("html"))
+
+
+_LISTED = _REC + f""", s AS (SELECT line_id, pos, split_part(CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END, '/', 1) AS slug FROM (SELECT line_id, unnest(l) AS e, unnest(range(len(l))) AS pos FROM (SELECT line_id, {_array('similar')} AS l FROM r)) WHERE json_type(e) <> 'NULL'),
+a AS (SELECT line_id, slug, min(pos) AS pos FROM s WHERE slug <> '' GROUP BY 1, 2)
+"""
+
+
+@query(_LISTED + "SELECT line_id, CAST(row_number() OVER (PARTITION BY line_id ORDER BY pos) - 1 AS INT) AS pos, slug FROM a")
+def page_lists(spark, folder):
+    """Slugs of list pages: the similar series of every record, as a page of links."""
+    link = lambda s: F.coalesce(F.concat(F.lit(f'<p><a class="tip" href="{SITE.series_path}'), _escaped(s["slug"]), F.lit('/">x</a></p>')), F.lit(""))
+    html = F.concat(F.lit('<div class="listupd">'), F.array_join(F.transform(objects(F.col("similar"), "slug"), link), ""), F.lit("</div>"))
+    return extract.list_slugs(_cards(spark, folder, html), "line_id", SITE)
+
+
+_NUMBERED = _REC + ", f AS (SELECT line_id, line_no, d->>'$.slug' AS slug, d->>'$.tipe' AS tipe, d->>'$.thumb_path' AS thumb, try_cast(d->>'$.latest_chapter_number' AS DOUBLE) AS number FROM r WHERE d->>'$.slug' IS NOT NULL) "
+
+
+@query(_NUMBERED + "SELECT line_id, slug, number AS chapter_number, CAST(line_no AS BIGINT) AS minutes FROM f WHERE number IS NOT NULL")
+def page_feeds(spark, folder):
+    """Cards of feed pages: every record that has a latest number, as many minutes old as its line number."""
+    number = S.number(F.col("latest_chapter_number")).cast("string")
+    card = F.concat(F.lit(f'<div class="animepost"><h3><a href="{SITE.series_path}'), _escaped(F.col("slug")), F.lit('/">x</a></h3><div class="lsch"><a href="/x-chapter-'), number, F.lit('/">y</a><span class="datech">'), F.col("line_no").cast("string"), F.lit(" menit lalu</span></div></div>"))
+    return extract.latest_feed(_cards(spark, folder, card), "line_id", SITE).select("line_id", "slug", "chapter_number", F.col("minutes").cast("long").alias("minutes"))
+
+
+@query(_NUMBERED + "SELECT line_id, slug, number AS latest, nullif(split_part(trim(tipe), ' ', 1), '') AS tipe, nullif(thumb, '') AS thumbnail FROM f")
+def page_homes(spark, folder):
+    """Cards of home pages: every record."""
+    optional = lambda before, value, after: F.coalesce(F.concat(F.lit(before), _escaped(value), F.lit(after)), F.lit(""))
+    card = F.concat(
+        F.lit('<div class="listupd"><div class="animepost">'), optional('<div class="limit"><img src="', F.col("thumb_path"), '"></div>'), optional('<span class="typeflag ', F.col("tipe"), '"></span>'),
+        F.lit(f'<h3><a href="{SITE.series_path}'), _escaped(F.col("slug")), F.lit('/">x</a></h3>'), optional('<a href="/x-chapter-', S.number(F.col("latest_chapter_number")).cast("string"), '/">y</a>'), F.lit("</div></div>"),
+    )
+    found = extract.home_updates(_cards(spark, folder, card), "line_id", SITE)
+    return found.select("line_id", "slug", F.col("latest_chapter_number").alias("latest"), S.or_null(F.col("tipe")).alias("tipe"), S.or_null(F.col("thumbnail")).alias("thumbnail"))
+
+
+@query("SELECT id, CAST(CASE WHEN total_images > 0 THEN 3 ELSE 0 END AS INT) AS domain_id, CASE WHEN total_images > 0 THEN 'data/' || id ELSE '' END AS prefix, CAST(coalesce(total_images, 0) AS INT) AS n_images, CASE WHEN total_images > 0 THEN '001' END AS first_name FROM chapters")
+def page_readers(spark, folder):
+    """Images of reader pages: every chapter, with as many images as it has."""
+    n = F.coalesce(F.col("total_images").cast("int"), F.lit(0))
+    images = F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(F.lit('<img src="https://img.komikraya.example/data/'), F.col("id").cast("string"), F.lit("/"), F.lpad(i.cast("string"), 3, "0"), F.lit('.jpg">')))
+    html = F.concat(F.lit('<div id="chimg-auh">'), F.array_join(images, ""), F.lit("</div>"))
+    found = extract.chapter_images(spread(table(spark, folder, "chapters")).select("id", html.alias("html")), "id", SITE)
+    return found.select("id", F.col("cdn_domain_id").cast("int").alias("domain_id"), F.col("cdn_path_prefix").alias("prefix"), F.col("total_images").cast("int").alias("n_images"), F.get("image_filenames", F.lit(0)).alias("first_name"))
+
+
+# --- jobs ---------------------------------------------------------------------------------
+
+
+def _store(spark: SparkSession) -> Store:
+    """A new store in the folder for checkpoints, which executors share."""
+    return Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", parts=8)
+
+
+def _staged_records(spark, folder) -> DataFrame:
+    rows = _newest(spark, folder).filter("_status is null")
+    chapters = F.transform(F.filter(objects(F.col("chapters"), "number", "url"), lambda c: c.isNotNull()), lambda c: F.struct(S.number(c["number"]).alias("number"), c["url"].alias("url")))
+    ids = F.filter(F.transform(items(F.col("genre_ids")), lambda g: g.try_cast("smallint")), lambda g: g.isNotNull())
+    return rows.select("slug", "judul", "author", S.number(F.col("latest_chapter_number")).alias("latest_chapter_number"), chapters.alias("chapters"), ids.alias("genre_ids"))
+
+
+_LOADED = _REC + f""", v2 AS (SELECT * FROM n WHERE d->>'$._status' IS NULL),
+c AS (SELECT slug, try_cast(e->>'$.number' AS DOUBLE) AS number, e->>'$.url' AS url, pos FROM (SELECT d->>'$.slug' AS slug, unnest(l) AS e, unnest(range(len(l))) AS pos FROM (SELECT d, {_array('chapters')} AS l FROM v2)) WHERE json_type(e) = 'OBJECT'),
+x AS (SELECT slug, number, url FROM c WHERE number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY slug, number ORDER BY pos) = 1)
+"""
+
+
+@query(_LOADED + "SELECT row_number() OVER (ORDER BY d->>'$.slug') AS id, d->>'$.slug' AS slug, coalesce(nullif(d->>'$.judul', ''), d->>'$.slug') AS judul, try_cast(d->>'$.latest_chapter_number' AS DOUBLE) AS latest FROM v2")
+def job_load(spark, folder):
+    """Load of all staged records into an empty store, twice: the second load changes no id."""
+    store = _store(spark)
+    store.setup()
+    rows = _staged_records(spark, folder)
+    load(rows, store)
+    load(rows, store)
+    return store.table("series").select("id", "slug", "judul", F.col("latest_chapter_number").alias("latest"))
+
+
+@query(_LOADED + "SELECT x.slug, number, url FROM x")
+def job_load_chapters(spark, folder):
+    store = _store(spark)
+    store.setup()
+    load(_staged_records(spark, folder), store)
+    names = store.table("series").select(F.col("id").alias("series_id"), "slug")
+    return store.table("chapters").join(names, "series_id").select("slug", F.col("chapter_number").alias("number"), F.col("chapter_url").alias("url"))
+
+
+@query(_LOADED + "SELECT 'upload' AS operation, 'completed' AS status, count(*) AS total_processed, count(*) AS total_new, CAST(0 AS BIGINT) AS total_updated FROM v2")
+def job_log(spark, folder):
+    """The log row of a load."""
+    store = _store(spark)
+    store.setup()
+    load(_staged_records(spark, folder), store)
+    return store.last_run().select("operation", "status", "total_processed", "total_new", "total_updated")
+
+
+@query(_LOADED + """, u AS (SELECT d->>'$.slug' AS slug, try_cast(d->>'$.latest_chapter_number' AS DOUBLE) AS own, (SELECT max(chapter_number) FROM chapters JOIN komik ON komik.id = komik_id WHERE komik.slug = d->>'$.slug') AS seen FROM v2)
+SELECT slug, greatest(own, seen) AS latest FROM u""")
+def job_raise(spark, folder):
+    """Latest numbers of a loaded store, raised to those of the stored chapters in the parts that they touch."""
+    store = _store(spark)
+    store.setup()
+    load(_staged_records(spark, folder), store)
+    names = table(spark, folder, "komik").select(F.col("id").alias("komik_id"), "slug")
+    raise_latest(table(spark, folder, "chapters").join(names, "komik_id").select("slug", F.col("chapter_number").alias("latest_chapter_number")), store)
+    return store.table("series").select("slug", F.col("latest_chapter_number").alias("latest"))
+
+
 @query()
 def page_elements(spark, folder):
     """Elements of every page by tag."""
@@ -650,7 +777,7 @@ def page_features(spark, folder):
     return rows.agg(*(F.round(F.sum(F.col("features")[i].cast("double")), 3).alias(n) for i, n in enumerate(NAMES)))
 
 
-@query()
+@query("SELECT table_name AS tbl, column_name AS col, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP_NS' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS type FROM duckdb_columns() WHERE table_name IN ('komik', 'chapters', 'komik_genres')")
 def schema_columns(spark, folder):
     rows = [(t, f.name, f.dataType.simpleString()) for t in ("komik", "chapters", "komik_genres") for f in table(spark, folder, t).schema.fields]
     return spark.createDataFrame(rows, "tbl string, col string, type string")

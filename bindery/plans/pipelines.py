@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.functions.dims import Site
+from bindery.functions.dims import Site, genre_ids
 from bindery.functions.scalars import titled
 from bindery.operators import extract, feed, merge
 from bindery.plans.store import Store
-from bindery.runtime import cut
+from bindery.runtime import bounded_broadcast, cut
+from bindery.schemas import CHAPTER, RECORD
 
 _SERIES = "judul tipe thumb_domain_id thumb_path status_id author artist alternative_title sinopsis rating latest_chapter_number".split()
 
@@ -24,14 +25,39 @@ class Counts:
     failed: int
 
 
-def load(records: DataFrame, store: Store, preserve: bool = False) -> Counts:
+def conformed(records: DataFrame, genres: DataFrame | None = None) -> DataFrame:
+    """`records` with the columns and types of schemas.RECORD; what they lack is null, or an empty array.
+
+    With `genres` (nama, genre_id) records without genre ids take them from their genre names. Needs distinct slugs.
+    """
+    if genres is not None and "genre_list" in records.columns:
+        ids = genre_ids(records, genres, "slug", "genre_list").withColumnRenamed("genre_ids", "_ids")
+        own = F.col("genre_ids") if "genre_ids" in records.columns else F.lit(None)
+        records = records.join(ids, "slug", "left").withColumn("genre_ids", F.coalesce(own.cast("array<smallint>"), F.col("_ids").cast("array<smallint>"))).drop("_ids")
+
+    def field(spec) -> Column:
+        if spec.name not in records.columns:
+            value = F.lit(None).cast(spec.dataType)
+        elif spec.name == "chapters":
+            have = [f.name for f in records.schema["chapters"].dataType.elementType.fields]
+            names = [f.name for f in spec.dataType.elementType.fields]
+            value = F.transform("chapters", lambda c: F.struct(*((c[n] if n in have else F.lit(None)).alias(n) for n in names))).cast(f"array<{CHAPTER}>")
+        else:
+            value = F.col(spec.name).cast(spec.dataType)
+        return (F.coalesce(value, F.array().cast(spec.dataType)) if spec.dataType.typeName() == "array" else value).alias(spec.name)
+
+    return records.select(*(field(f) for f in records.sparkSession.createDataFrame([], RECORD).schema.fields))
+
+
+def load(records: DataFrame, store: Store, preserve: bool = False, genres: DataFrame | None = None) -> Counts:
     """Upsert one record per slug, its chapters, and its genres as a set; all three tables change together.
 
-    Records must have distinct slugs (jsonl.newest_by_slug). Of chapters with one
-    number the first counts. Ids of known series and chapters stay.
+    Records, as staged or as extracted from pages (see conformed), must have distinct
+    slugs (jsonl.newest_by_slug). Of chapters with one number the first counts. Ids
+    of known series and chapters stay.
     """
     now = F.current_timestamp()
-    records = cut(records.withColumn("judul", titled(F.col("judul"), F.col("slug"))))
+    records = cut(conformed(records, genres).withColumn("judul", titled(F.col("judul"), F.col("slug"))))
     series, chapters, genres = (store.table(t) for t in ("series", "chapters", "series_genres"))
 
     known = series.select("slug", F.col("id").alias("_id"), F.col("created_at").alias("_at"))
@@ -76,7 +102,14 @@ def full_extract(pages: DataFrame, done: DataFrame | None = None, images: DataFr
     return found.drop("chapters").join(joined.select("slug", F.transform("cs", lambda c: c.dropFields("_i")).alias("chapters")), "slug", "left")
 
 
-def incremental_update(items: DataFrame, store: Store, details: DataFrame | None = None, most_minutes: int = 360, dry_run: bool = False) -> tuple[DataFrame, Counts]:
+def raise_latest(raised: DataFrame, store: Store) -> None:
+    """Raise the latest numbers of (slug, latest_chapter_number); only the parts of the table that hold the slugs are read and written."""
+    raised = cut(raised)
+    parts = store.touched("series", raised)
+    store.patch("series", merge.monotone(store.table("series", parts), raised, "slug", "latest_chapter_number"), parts)
+
+
+def incremental_update(items: DataFrame, store: Store, details: DataFrame | None = None, most_minutes: int = 360, dry_run: bool = False, genres: DataFrame | None = None) -> tuple[DataFrame, Counts]:
     """Classify feed items (page, place, slug, number, minutes), load details of new slugs, raise the latest numbers.
 
     Returns the classified items; with `dry_run` nothing is written. An empty feed is logged too.
@@ -88,9 +121,7 @@ def incremental_update(items: DataFrame, store: Store, details: DataFrame | None
     counts = Counts(row["n_new"] + row["n_updated"] + row["n_skipped"], row["n_new"], row["n_updated"], 0)
     if not dry_run:
         if details is not None:
-            load(details.join(told.filter("action = 'new'").select("slug"), "slug", "left_semi"), store)
-            series = store.table("series")
-        raised = told.filter("action = 'updated'").select("slug", F.col("number").alias("latest_chapter_number"))
-        store.replace({"series": merge.monotone(series, raised, "slug", "latest_chapter_number")})
+            load(details.join(bounded_broadcast(told.filter("action = 'new'").select("slug")), "slug", "left_semi"), store, genres=genres)
+        raise_latest(told.filter("action = 'updated'").select("slug", F.col("number").alias("latest_chapter_number")), store)
         store.log("smart_update", "completed", counts.processed, counts.new, counts.updated, counts.failed)
     return told, counts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 from collections.abc import Callable, Hashable
@@ -23,22 +24,25 @@ def session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from the files.
-
-    The folder is the one of the session (spark.checkpoint.dir). Only a local
-    session without one gets a temporary folder.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints: the session's (spark.checkpoint.dir); only a local session without one gets a temporary folder."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
+        named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="bindery-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared checkpoint folder and go on from the files."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -8,6 +8,7 @@ RECORD = (
     "sinopsis string, rating double, genre_list array<string>, genre_ids array<smallint>, "
     f"chapters array<{CHAPTER}>, latest_chapter_number double, similar array<struct<slug:string,judul:string>>"
 )
+DEAD_LETTER = "slug string, reason string, detail string"
 STAGED = f"{RECORD}, _status string, _error string"
 TABLES = {
     "series": "id long, slug string, judul string, thumb_domain_id smallint, thumb_path string, tipe string, status_id smallint, author string, artist string, alternative_title string, sinopsis string, rating double, latest_chapter_number double, chapter_count int, created_at timestamp, updated_at timestamp",

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from bindery.operators import feed, merge
 from bindery.plans.store import Store
+from bindery.runtime import cut
 from bindery.schemas import STAGED
 
 
 def staged(spark: SparkSession, path: str, files_per_batch: int = 16) -> DataFrame:
-    """The stream of staged records of a folder; bad lines stay visible in _corrupt."""
-    return spark.readStream.schema(f"{STAGED}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").option("maxFilesPerTrigger", files_per_batch).json(path)
+    """The stream of staged records of a folder, with their file and block; bad lines stay visible in _corrupt."""
+    rows = spark.readStream.schema(f"{STAGED}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").option("maxFilesPerTrigger", files_per_batch).json(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def parquet(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -42,25 +44,33 @@ def into_store(items: DataFrame, store: Store, checkpoint: str, trigger: dict |
     trigger: {'availableNow': True} (default) or {'processingTime': '6 hours'}.
     """
 
+    from bindery.plans.pipelines import raise_latest
+
     def run(batch: DataFrame, number: int) -> None:
         single = merge.last_wins(batch, ["slug"], ["number"])
         series = store.table("series")
         told = feed.classify(single, series.select("slug", F.col("latest_chapter_number").alias("latest")))
         if on_batch:
             on_batch(told, number)
-        raised = single.select("slug", F.col("number").alias("latest_chapter_number"))
-        store.replace({"series": merge.monotone(series, raised, "slug", "latest_chapter_number")})
+        raise_latest(single.select("slug", F.col("number").alias("latest_chapter_number")), store)
 
     return items.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def load_staged(lines: DataFrame, store: Store, checkpoint: str):
-    """Load each micro-batch of staged records; corrupt lines and error rows are left to the dead letters."""
+def load_staged(lines: DataFrame, store: Store, checkpoint: str, letters: str | None = None):
+    """Load each micro-batch of staged records: of several of a slug the last by file and line.
+
+    Corrupt lines and error rows go to the folder `letters`, one subfolder for a
+    batch, so a batch that is tried again writes them once.
+    """
     from bindery.plans.pipelines import load
     from bindery.sources import jsonl
 
     def run(batch: DataFrame, number: int) -> None:
-        rows = jsonl.valid(batch.withColumn("_row", F.monotonically_increasing_id()))
-        load(jsonl.newest_by_slug(rows, ["_row"]).drop("_row"), store)
+        # Within a block rows keep the order of their lines.
+        rows = cut(batch.withColumn("_row", F.monotonically_increasing_id()))
+        if letters:
+            jsonl.dead_letters(rows).write.mode("overwrite").json(f"{letters}/batch={number}")
+        load(jsonl.newest_by_slug(jsonl.valid(rows), ["_file", "_block", "_row"]).drop("_file", "_block", "_row"), store)
 
     return lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

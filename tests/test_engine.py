@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from bindery.functions import scalars as S
 from bindery.functions.dims import Site, extension_id, status_id, status_name
-from bindery.ml import detect, evaluate, features, model
+from bindery.ml import detect, evaluate, export, features, model
 from bindery.operators import dom, extract, feed, merge, read
 from bindery.plans import pipelines
 from bindery.plans.store import Store
-from bindery.sources import jsonl, pages
+from bindery.sources import database, jsonl, pages
 from bindery.streaming import feeds
 
 
@@ -204,10 +204,136 @@ def test_streams_equal_batches(spark, tmp_path):
     assert sorted(r["slug"] for r in spark.table("single").collect()) == ["a", "zz"]
 
 
-def test_full_extract(spark):
-    found = pipelines.full_extract(spark.createDataFrame([("menara", html.DETAIL), ("old", html.DETAIL)], "slug string, html string"), spark.createDataFrame([("old",)], "slug string"),
-                                   spark.createDataFrame([("https://baca.komikraya.example/menara-chapter-10/", html.READER)], "url string, html string")).collect()
-    assert [r["slug"] for r in found] == ["menara"] and [c["total_images"] for c in found[0]["chapters"]] == [3, None, None]
+def test_full_extract_and_load(spark, tmp_path):
+    site_pages = spark.createDataFrame([("menara", html.DETAIL), ("old", html.DETAIL)], "slug string, html string")
+    done = spark.createDataFrame([("old",)], "slug string")
+    reader = spark.createDataFrame([("https://baca.komikraya.example/menara-chapter-10/", html.READER)], "url string, html string")
+    genres = spark.createDataFrame([("Misteri", 7), ("Laga", 3), ("Lain", 9)], "nama string, genre_id smallint")
+    found = pipelines.full_extract(site_pages, done, reader)
+    rows = found.collect()
+    assert [r["slug"] for r in rows] == ["menara"] and [c["total_images"] for c in rows[0]["chapters"]] == [3, None, None]
+    for n, images in enumerate((None, reader)):
+        store = Store(spark, str(tmp_path / f"store{n}"), parts=4)
+        store.setup()
+        assert pipelines.load(pipelines.full_extract(site_pages, done, images), store, genres=genres) == pipelines.Counts(1, 1, 0, 0)
+        assert sorted(r["genre_id"] for r in store.table("series_genres").collect()) == [3, 7]
+        kids = {r["chapter_number"]: (r["image_filenames"], r["total_images"]) for r in store.table("chapters").collect()}
+        assert set(kids) == {1.0, 2.5, 10.0} and kids[10.0] == ((["001", "002", "003"], 3) if images is not None else (None, None))
+        assert pipelines.load(found, store, genres=genres) == pipelines.Counts(1, 0, 1, 0)
+
+
+def test_store_survives_a_broken_write(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"), parts=4)
+    store.setup()
+    series = store.table("series")
+    rows = spark.createDataFrame([(i, f"s{i}", float(i)) for i in range(20)], "id long, slug string, latest_chapter_number double")
+    store.replace({"series": series.unionByName(rows, allowMissingColumns=True)})
+    with monkeypatch.context() as broken:  # tables are written, the pointer is not
+        broken.setattr(Store, "_flip", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            store.replace({"series": series})
+    assert Store(spark, store.root, parts=4).table("series").count() == 20
+    (tmp_path / "store" / "_pointer-000000000003.json").write_text('{"tables": {"ser')  # a writer broke within the pointer
+    assert store.table("series").count() == 20
+    with pytest.raises(RuntimeError):  # it may still be at work
+        store.replace({"series": series})
+    store.lease = 0
+    store.setup()
+    first = store._pointer()
+    pipelines.raise_latest(spark.createDataFrame([("s3", 50.0), ("s4", 1.0)], "slug string, latest_chapter_number double"), store)
+    assert {r["slug"]: r["latest_chapter_number"] for r in store.table("series").collect()} == {f"s{i}": 50.0 if i == 3 else float(i) for i in range(20)}
+    stamps = store._pointer()[1]["series"]
+    assert len(stamps) == 2 and sorted(p for ps in stamps.values() for p in ps) == [0, 1, 2, 3]  # other parts stayed where they are
+    with pytest.raises(RuntimeError):  # a writer that read an older pointer loses
+        store._flip(*first)
+    assert store.vacuum(keep=1) > 0 and store.table("series").count() == 20 and store.table("chapters").count() == 0
+
+
+def test_dead_letters_of_a_stream(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), parts=4)
+    store.setup()
+    path = staged(spark, tmp_path, RECORD, "{broken", {"slug": "x", "_status": "failed", "_error": "e"}, RECORD | {"judul": "Later"})
+    feeds.load_staged(feeds.staged(spark, path), store, str(tmp_path / "c"), str(tmp_path / "letters")).awaitTermination()
+    assert [r["judul"] for r in store.table("series").collect()] == ["Later"]
+    assert {r["reason"] for r in spark.read.json(str(tmp_path / "letters")).collect()} == {"corrupt", "failed"}
+
+
+def test_page_folders_and_database(spark, tmp_path):
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    (folder / "a.html").write_text(html.DETAIL)
+    (folder / "b.html").write_text("<p>Just a moment...")
+    (folder / "c.txt").write_text("no page")
+    read_pages = pages.files(spark, str(folder))
+    assert [r["judul"] for r in extract.details(read_pages, "page_id").collect()] == ["Menara & Kabut"]
+    asked = pages.wanted(spark.createDataFrame([("u", "<p>x")], "url string, html string"), spark.createDataFrame([("u",), ("u",), ("v",)], "url string"))
+    assert sorted(tuple(r) for r in asked.collect()) == [("u", "<p>x"), ("v", None)]
+    options = {"url": f"jdbc:derby:{tmp_path}/db;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, slug string")
+    try:
+        database.write(rows, "series", mode="overwrite", **options)
+    except Exception as e:
+        pytest.skip(f"no embedded database: {e!r:.80}")
+    assert sorted(tuple(r) for r in database.read(spark, "series", **options).collect()) == [(1, "a"), (2, "b")]
+    assert database.pooled("h:6543/db") == "h:5432/db"
+
+
+def test_addresses_and_names(spark):
+    row = spark.range(1).select(
+        S.dotted_chapter_url(F.lit("a"), F.lit(307.5)).alias("a"), S.dotted_chapter_url(F.lit("a"), F.lit(3.0)).alias("b"), S.series_url(F.lit("a")).alias("c"),
+        S.timestamped("full", F.lit(datetime(2025, 1, 2, 3, 4, 5))).alias("d"), *(S.masked_url(F.lit(u)).alias(f"m{i}") for i, u in enumerate(("", "file:" + "x" * 40, "postgresql://u:p@h:5432/d"))),
+    ).first()
+    base = "https://baca.komikraya.example"
+    assert tuple(row)[:4] == (f"{base}/a-chapter-307.5/", f"{base}/a-chapter-3/", f"{base}/komik/a/", "full_20250102_030405.jsonl")
+    assert tuple(row)[4:] == ("(not set)", "file:" + "x" * 25 + "... (SQLite)", "postgresql://u:***@h:5432/d")
+
+
+def test_matrices_metadata_and_exchange(spark, tmp_path):
+    rows = spark.createDataFrame([([1.0, 2.0], [1]), ([3.0, 4.0], [0])], "features array<float>, labels array<int>")
+    export.write_matrix(rows, str(tmp_path / "m"))
+    assert sorted((r["features"], r["labels"]) for r in export.read_matrix(spark, str(tmp_path / "m"), 3, 2).collect()) == [([1.0, 2.0, 0.0], [1, 0]), ([3.0, 4.0, 0.0], [0, 0])]
+    rng = np.random.default_rng(1)
+    net = model.Network([0.5] * 44, [2.0] * 44, [rng.normal(size=(44, 16)).tolist(), rng.normal(size=(16, 9)).tolist()], [rng.normal(size=16).tolist(), rng.normal(size=9).tolist()], list(features.FIELDS), [0.1] * 9)
+    told = export.metadata(net, features.NAMES)
+    assert export.thresholds_of(told, list(features.FIELDS)) == [0.1] * 9
+    assert export.thresholds_of('{"field_thresholds": {"title": 0.2, "rating": "x"}}', ["title", "rating", "genre"]) == [0.2, 0.5, 0.5]
+    assert export.thresholds_of(None, ["a"]) == export.thresholds_of("{", ["a"]) == export.thresholds_of("[]", ["a"]) == [0.5]
+    pytest.importorskip("onnxruntime")
+    assert export.largest_difference(net, export.to_onnx(net), rng.normal(size=(50, 44))) < 1e-4
+
+
+def test_splits_and_single_fields(spark):
+    data = spark.createDataFrame([(i, [float(i % 7), float(i % 3)], [int(i % 7 > 3), int(i % 50 == 0)]) for i in range(501)], "id int, features array<double>, labels array<int>")
+    assert {r["field"]: (r["n_positive"], r["n_rows"]) for r in model.positives(data, ["x", "y"]).collect()} == {"x": (213, 501), "y": (11, 501)}
+    for column, sizes in (("labels[1]", {0: 490, 1: 11}), ("1", {1: 501})):
+        parts = model.exact_split(data, ["id"], F.expr(column)).groupBy(F.expr(column).alias("s"), "is_train").count().collect()
+        assert {r["s"]: r["count"] for r in parts if r["is_train"]} == {s: -(-n * 4 // 5) for s, n in sizes.items()} and sum(r["count"] for r in parts) == 501
+    assert model.exact_split(data.limit(0), ["id"], F.lit(1)).count() == 0
+    net = model.train_single(data, "x", ["x", "y"], 2, hidden=(8,), epochs=40, rate=1e-2)
+    probs = {r["id"]: r["probs"][0] for r in model.scores(data, net).collect()}
+    assert net.fields == ["x"] and all((probs[i] > 0.5) == (i % 7 > 3) for i in range(501))
+    own = features.labelled_single(page(spark, html.DETAIL), "page_id", "genre")
+    assert own.filter("labels[0] = 1").count() == 2 and {r["page_id"] for r in own.collect()} == {1}
+
+
+def test_model_thumbnail(spark):
+    known, other = "https://cdn.komikraya.example/data/wp-content/uploads/Komik-a-300x400.jpg", "https://else.example/b.jpg"
+    texts = [f'<div class="imgdesc"><img src="{known}"></div>', f'<div class="thumb"><img src="{other}"></div><img class="wp-post-image" src="{known}">', f'<div class="thumb"><img src="{other}"></div>']
+    found = dom.with_dom(spark.createDataFrame(list(enumerate(texts)), "i int, html string")).select("i", extract.model_thumbnail().alias("t")).orderBy("i").collect()
+    assert [r["t"] and tuple(r["t"]) for r in found] == [(2, "a.jpg"), (2, "a.jpg"), None]
+
+
+def test_sets_that_become_empty_have_changed(spark):
+    base = spark.createDataFrame([(1, 5), (2, 6), (3, 7)], "o int, m int")
+    delta = spark.createDataFrame([(2, 6), (2, 6), (4, 1)], "o int, m int")
+    owners = spark.createDataFrame([(1,), (2,), (4,), (5,)], "o int")
+    assert sorted(r["o"] for r in merge.changed_sets(base, delta, "o", "m", owners).collect()) == [1, 4]
+    assert sorted(r["o"] for r in merge.changed_sets(base, delta, "o", "m").collect()) == [4]
+
+
+def test_exact_match(spark):
+    df = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (1, 1)], "a int, b int")
+    assert evaluate.exact_match(df, "a", "b").first()[0] == 0.75
 
 
 def test_detection(spark):
@@ -245,7 +371,8 @@ def test_detected_fields_and_agreement(spark):
     assert found[3]["judul"] is None and len(found[1]["chapters"]) == 3
     tally = {r["field"]: r for r in detect.agreement(page(spark, html.DETAIL), "page_id", net).collect()}
     assert tally["title"]["n_match"] == 1 and tally["author"]["n_match"] == 1 and tally["chapters"]["n_match"] == 1
-    assert features.padded(F.array(F.lit(1.0).cast("float")), 3) is not None
+    best = detect.detect_all(page(spark, html.DETAIL), "page_id", net, "genre").orderBy("rank").collect()
+    assert [r["rank"] for r in best] == [1, 2] and {r["text"] for r in best} == {"Laga", "Misteri"}
 
 
 def test_page_records_keep_pages_without_chapters(spark, tmp_path):
