@@ -172,10 +172,14 @@ for _part, _words in PARTS.items():
 STRONG = "failed failure denied refused unavailable timeout timed expired error errors interrupted closed invalid disconnected unreachable outage gagal ditolak terputus kedaluwarsa verweigert fehlgeschlagen abgelaufen fehler unterbrochen refusé refusée échoué indisponible introuvable erreur denegado falló expiró error inválida negado falhou indisponível erro geweigerd mislukt fout negato errore kesalahan galat"
 
 
+def _words(of: list[str]) -> Column:
+    """An array of words as one literal, which keeps the plan small."""
+    return F.split(F.lit(" ".join(of)), " ")
+
+
 def _in(words: Column, part: str) -> Column:
     """How many of the words have a part in system messages."""
-    table = F.array(*(F.lit(w) for w in sorted({w for w, parts in _OF.items() if part in parts})))
-    return F.size(F.array_intersect(words, table))
+    return F.size(F.array_intersect(words, _words(sorted(w for w, parts in _OF.items() if part in parts))))
 
 
 #: A sentence that scores at least this is a system message: at most a tenth of its words are foreign to one.
@@ -195,14 +199,14 @@ def message_score(text: Column) -> Column:
         counted = F.filter(words, lambda w: ~w.rlike(r"^(?:\d+|[0-9a-f]{6,})$"))
         some = lambda part: _in(words, part) > 0
         code = F.exists(words, lambda w: w.rlike(r"^[45]\d\d$"))
-        any_of = lambda text: F.arrays_overlap(words, F.array(*map(F.lit, text.split())))
+        any_of = lambda text: F.arrays_overlap(words, _words(text.split()))
         # 'found', 'could' and their like say nothing alone: a strong fault, two, or one with a denial or a code.
         happened = (any_of("occurred occur happened encountered terjadi aufgetreten survenue produit ocurrido ocorreu") & any_of("error errors kesalahan galat fehler erreur erro problem")) | (any_of("something") & any_of("wrong"))
         faulty = happened | (some("thing") & some("fault") & (some("not") | code | (_in(words, "fault") >= 2) | any_of(STRONG))) | (some("thing") & some("not") & any_of("longer working isn't existe n'existe existiert connection verbindung")) | (some("thing") & any_of("many") & any_of("too")) | (code & (_in(words, "fault") >= 2))
         barred = (F.size(counted) >= 2) & any_of("access akses zugriff accès acceso acesso toegang permission authorized") & (some("not") & (F.size(counted) >= 3) | any_of(STRONG))
         told_to = some("means") & (F.size(counted) >= 3) & (some("order") | some("not") & any_of("available supported support enabled enable fault"))
         guarded = _in(words, "means") - F.when(any_of("robot robots human humans bot"), 2).otherwise(0) >= 2
-        known = F.size(F.array_intersect(counted, F.array(*map(F.lit, sorted(_OF)))))
+        known = F.size(F.array_intersect(counted, _words(sorted(_OF))))
         return F.when((faulty | barred | told_to | guarded) & (F.size(counted) >= 2), known / F.size(counted)).otherwise(0.0)
 
     return let(F.array_distinct(F.regexp_extract_all(bare, F.lit(r"[\p{L}\p{N}]+(?:['-][\p{L}]+)*"), F.lit(0))), told)
