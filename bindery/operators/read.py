@@ -37,6 +37,36 @@ def modes(df: DataFrame, group: str, value: str) -> DataFrame:
     return best.select(group, F.col(f"b.{value}").alias(value), F.col("b.n").alias("n"))
 
 
+def counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row with the number of rows of each table, in columns of the given names."""
+    ones = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in tables.items()]
+    row = ones[0]
+    for one in ones[1:]:
+        row = row.join(F.broadcast(one))
+    return row
+
+
+def value_map(df: DataFrame, key: str, value: str, to: str, id_column: str = "id") -> DataFrame:
+    """(id, key, to): the stored value of every key; only these columns are read."""
+    return df.select(id_column, key, F.col(value).alias(to))
+
+
+def lookup(df: DataFrame, key: str, value) -> DataFrame:
+    """The rows of one key; the filter reaches the scan. A null value finds nothing."""
+    return df.filter(F.col(key) == F.lit(value))
+
+
+def members(bridge: DataFrame, known: DataFrame, owner: str, member: str, to: str) -> DataFrame:
+    """(member, to): how many distinct owners each known member has; members without any are left out."""
+    pairs = bridge.select(owner, member).distinct()
+    return pairs.join(known.select(member).distinct(), member).groupBy(member).agg(F.count(F.lit(1)).alias(to))
+
+
+def last_row(df: DataFrame, *by: str) -> DataFrame:
+    """The greatest row by some columns."""
+    return df.orderBy(*(F.col(c).desc() for c in by)).limit(1)
+
+
 def throughput(n: DataFrame, done: str, seconds: str, total: str) -> DataFrame:
     """per_minute, percent and seconds left; 0 where a rate is unknown."""
     rate = F.coalesce(F.try_divide(F.col(done) * 60.0, F.col(seconds)), F.lit(0.0))

@@ -16,7 +16,7 @@ from bindery.operators.dom import node_table, with_dom
 from bindery.plans.pipelines import load, raise_latest
 from bindery.plans.store import Store
 from bindery.runtime import shared_folder, spread
-from bindery.sources.detail_lines import items, objects, records
+from bindery.sources.detail_lines import items, last_slugs, line_counts, newest_file, objects, records
 from bindery.sources.pages import judged
 from bindery.sources.tables import table
 
@@ -67,7 +67,7 @@ def staged_by_file(spark, folder):
 
 @query("SELECT file_name, count(*) AS n_lines FROM detail_lines GROUP BY 1")
 def staged_line_count(spark, folder):
-    return table(spark, folder, "detail_lines").groupBy("file_name").agg(F.count(F.lit(1)).alias("n_lines"))
+    return line_counts(table(spark, folder, "detail_lines"))
 
 
 @query(_REC + "SELECT d->>'$.slug' AS slug, line_id, d->>'$.author' AS author FROM n")
@@ -77,7 +77,7 @@ def staged_last_wins(spark, folder):
 
 @query(_REC + "SELECT file_name, arg_max(d->>'$.slug', line_no) AS slug FROM r WHERE d->>'$.slug' IS NOT NULL GROUP BY 1")
 def staged_last_slug(spark, folder):
-    return _records(spark, folder).groupBy("file_name").agg(F.max_by("slug", "line_no").alias("slug"))
+    return last_slugs(_records(spark, folder))
 
 
 @query(_REC + "SELECT line_id, d->>'$.slug' AS slug, d->>'$._status' AS reason FROM r WHERE d->>'$._status' IS NOT NULL")
@@ -87,8 +87,7 @@ def dead_letters(spark, folder):
 
 @query("SELECT max(file_name) AS file_name FROM detail_lines WHERE fetched_at = (SELECT max(fetched_at) FROM detail_lines)")
 def latest_file(spark, folder):
-    rows = table(spark, folder, "detail_lines")
-    return rows.orderBy(F.col("fetched_at").desc(), F.col("file_name").desc()).limit(1).select("file_name")
+    return newest_file(table(spark, folder, "detail_lines"))
 
 
 @query("SELECT event_id, props->>'$.k' AS k, CAST(json_valid(props) AS INT) AS valid FROM events")
@@ -447,29 +446,27 @@ def series_detail(spark, folder):
 @query("SELECT k.id, k.slug, k.rating FROM komik k WHERE slug = (SELECT min(slug) FROM komik)")
 def point_lookup(spark, folder):
     rows = table(spark, folder, "komik")
-    return rows.filter(F.col("slug") == rows.agg(F.min("slug")).first()[0]).select("id", "slug", "rating")
+    return read.lookup(rows, "slug", rows.agg(F.min("slug")).first()[0]).select("id", "slug", "rating")
 
 
 @query("SELECT (SELECT count(*) FROM komik) AS n_series, (SELECT count(*) FROM chapters) AS n_chapters, (SELECT count(*) FROM komik_genres) AS n_genres")
 def counts_all(spark, folder):
-    one = lambda name, to: table(spark, folder, name).agg(F.count(F.lit(1)).alias(to))
-    return one("komik", "n_series").join(F.broadcast(one("chapters", "n_chapters"))).join(F.broadcast(one("komik_genres", "n_genres")))
+    return read.counts({"n_series": table(spark, folder, "komik"), "n_chapters": table(spark, folder, "chapters"), "n_genres": table(spark, folder, "komik_genres")})
 
 
 @query("SELECT id, slug, latest_chapter_number AS latest FROM komik")
 def chapter_map(spark, folder):
-    return table(spark, folder, "komik").select("id", "slug", F.col("latest_chapter_number").alias("latest"))
+    return read.value_map(table(spark, folder, "komik"), "slug", "latest_chapter_number", "latest")
 
 
 @query("SELECT genre_id, count(*) AS n_series FROM (SELECT DISTINCT komik_id, genre_id FROM komik_genres) JOIN genres USING (genre_id) GROUP BY 1")
 def bridge_counts(spark, folder):
-    members = table(spark, folder, "komik_genres").select("komik_id", "genre_id").distinct()
-    return members.join(table(spark, folder, "genres").select("genre_id"), "genre_id").groupBy("genre_id").agg(F.count(F.lit(1)).alias("n_series"))
+    return read.members(table(spark, folder, "komik_genres"), table(spark, folder, "genres"), "komik_id", "genre_id", "n_series")
 
 
 @query("SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
 def last_log_row(spark, folder):
-    return table(spark, folder, "events").orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(1).select("event_id", "event_type")
+    return read.last_row(table(spark, folder, "events"), "ts", "event_id").select("event_id", "event_type")
 
 
 @query("SELECT komik_id, cdn_domain_id, n FROM (SELECT komik_id, cdn_domain_id, count(*) AS n FROM chapters WHERE cdn_domain_id IS NOT NULL GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY komik_id ORDER BY n DESC, cdn_domain_id) = 1")
@@ -520,8 +517,11 @@ def fuzzy_tally(spark, folder):
 
 @query("SELECT round(avg(chapter_count), 9) AS mean, round(coalesce(nullif(stddev_pop(chapter_count), 0), 1), 9) AS scale, count(*) AS n FROM komik")
 def scaler_stats(spark, folder):
-    row = table(spark, folder, "komik").agg(F.avg("chapter_count").alias("m"), F.stddev_pop("chapter_count").alias("s"), F.count(F.lit(1)).alias("n"))
-    return row.select(F.round("m", 9).alias("mean"), F.round(F.when(F.col("s") == 0, 1.0).otherwise(F.col("s")), 9).alias("scale"), "n")
+    from bindery.ml.model import scaler
+
+    rows = table(spark, folder, "komik")
+    mean, scale = scaler(rows.select(F.array("chapter_count").alias("features")), 1)
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(F.round(F.lit(mean[0]), 9).alias("mean"), F.round(F.lit(scale[0]), 9).alias("scale"), "n")
 
 
 @query()
@@ -762,7 +762,13 @@ def job_raise(spark, folder):
     return store.table("series").select("slug", F.col("latest_chapter_number").alias("latest"))
 
 
-@query()
+@query(_REC + f""", w AS (SELECT * FROM r WHERE d->>'$.slug' IS NOT NULL),
+p AS (SELECT count(*) AS n, count(d->>'$.author') + count(d->>'$.artist') AS told FROM w),
+c AS (SELECT count(*) AS n FROM (SELECT unnest(l) AS e FROM (SELECT {_array('chapters')} AS l FROM w)) WHERE json_type(e) = 'OBJECT' AND e->>'$.url' IS NOT NULL AND e->>'$.number' IS NOT NULL),
+s AS (SELECT count(*) AS n FROM (SELECT unnest(l) AS e FROM (SELECT {_array('similar')} AS l FROM w)) WHERE json_type(e) <> 'NULL' AND CASE WHEN json_type(e) = 'OBJECT' THEN e->>'$.slug' ELSE e->>'$' END IS NOT NULL),
+t AS (SELECT unnest(['html', 'body', 'h1', 'div', 'i', 'ul', 'b', 'span', 'li', 'a']) AS tag, unnest([p.n, p.n, p.n, 4 * p.n, p.n, 2 * p.n, p.told, p.told + c.n, c.n + s.n, c.n + s.n]) AS n,
+  unnest([0, 1, 2, 2, 3, 3, 4, CASE WHEN c.n > 0 THEN 5 ELSE 3 END, 4, CASE WHEN c.n > 0 THEN 6 ELSE 5 END]) AS deepest FROM p, c, s)
+SELECT * FROM t WHERE n > 0""")
 def page_elements(spark, folder):
     """Elements of every page by tag."""
     return node_table(with_dom(pages(spark, folder)), "line_id").groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("deepest"))

@@ -17,6 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindery.operators.read import last_row
 from bindery.schemas import TABLES
 
 #: Parts of a keyed table; how long (seconds) an incomplete pointer counts as another writer at work.
@@ -150,4 +151,4 @@ class Store:
         row.write.mode("append").parquet(f"{self.root}/run_log/{next(iter(self._pointer()[1]['run_log']))}")
 
     def last_run(self) -> DataFrame:
-        return self.table("run_log").orderBy(F.col("created_at").desc()).limit(1)
+        return last_row(self.table("run_log"), "created_at")

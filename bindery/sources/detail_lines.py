@@ -59,3 +59,18 @@ def objects(text: Column, *names: str) -> Column:
     lone = lambda e: F.struct(e.alias(names[0]), *(F.lit(None).cast("string").alias(n) for n in names[1:]))
     each = F.transform(items(text), lambda e: F.when(e.startswith("{"), F.from_json(e, shape)).when(e.isNotNull(), lone(e)))
     return F.coalesce(F.when(text.rlike(r"^\s*[\[{]"), F.from_json(text, f"array<{shape}>")), each)
+
+
+def line_counts(lines: DataFrame, file: str = "file_name") -> DataFrame:
+    """(file, n_lines): every line counts, blank and broken ones too."""
+    return lines.groupBy(file).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def last_slugs(records_: DataFrame, file: str = "file_name", place: str = "line_no") -> DataFrame:
+    """(file, slug): the slug of each file's last record."""
+    return records_.groupBy(file).agg(F.max_by("slug", place).alias("slug"))
+
+
+def newest_file(lines: DataFrame, file: str = "file_name", at: str = "fetched_at") -> DataFrame:
+    """(file): the file with the latest line; of equals the last by name."""
+    return lines.orderBy(F.col(at).desc(), F.col(file).desc()).limit(1).select(file)
