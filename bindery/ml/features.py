@@ -32,7 +32,7 @@ def elements(pages: DataFrame, key: str) -> DataFrame:
     def around(n: Column) -> Column:
         inside = F.slice(d["nodes"], n["pre"] + 2, n["last"] - n["pre"])
         bold = F.transform(F.filter(inside, lambda x: x["tag"].isin("b", "strong")), lambda x: text(d, x))
-        up = F.filter(d["nodes"], lambda x: (x["pre"] < n["pre"]) & (x["last"] >= n["pre"]))
+        up = F.transform(n["path"], lambda i: F.get(d["nodes"], i))
         return F.struct(
             n.alias("n"),
             F.regexp_replace(text(d, n), r"\s+", " ").alias("t"),
@@ -44,7 +44,7 @@ def elements(pages: DataFrame, key: str) -> DataFrame:
         )
 
     candidates = F.filter(d["nodes"], lambda n: ~n["tag"].isin(*NO_CANDIDATES))
-    return with_dom(pages).select(key, "dom", F.size(candidates).alias("n_candidates"), F.posexplode(F.transform(candidates, around)).alias("pos", "e")).select(key, "n_candidates", "pos", "e.*")
+    return with_dom(pages).select(key, F.size(candidates).alias("n_candidates"), F.posexplode(F.transform(candidates, around)).alias("pos", "e")).select(key, "n_candidates", "pos", "e.*")
 
 
 def vector() -> Column:

@@ -19,7 +19,7 @@ from bindery.runtime import let
 
 NODE = (
     "struct<pre:int,last:int,parent:int,depth:int,tag:string,attrs:map<string,string>,classes:array<string>,"
-    "t0:int,t1:int,sib_index:int,sib_count:int,child_count:int>"
+    "t0:int,t1:int,sib_index:int,sib_count:int,child_count:int,path:array<int>>"
 )
 DOM = f"struct<text:string,nodes:array<{NODE}>>"
 # Fixed values of HTML: elements without content, and which open elements a new one closes.
@@ -57,7 +57,7 @@ class _Builder(HTMLParser):
         own = {k: v or "" for k, v in reversed(attrs)}
         node = {
             "pre": len(self.nodes), "last": len(self.nodes), "parent": self.open[-1] if self.open else -1, "depth": len(self.open), "tag": tag,
-            "attrs": own, "classes": own.get("class", "").split(), "t0": self.size, "t1": self.size, "sib_index": 0, "sib_count": 0, "child_count": 0,
+            "attrs": own, "classes": own.get("class", "").split(), "t0": self.size, "t1": self.size, "sib_index": 0, "sib_count": 0, "child_count": 0, "path": list(self.open),
         }
         self.nodes.append(node)
         if tag not in VOID:
@@ -184,4 +184,6 @@ def first_attr(dom_: Column, name: str, *path: str) -> Column:
 
 def node_table(pages: DataFrame, key: str) -> DataFrame:
     """One row per element with its ancestors' range, for queries over elements: (key, node fields, text)."""
-    return pages.select(key, "dom", F.explode("dom.nodes").alias("n")).select(key, "n.*", text(F.col("dom"), F.col("n")).alias("text"))
+    slices = F.transform("dom.nodes", lambda n: F.struct(n.dropFields("path").alias("n"), text(F.col("dom"), n).alias("text")))
+    # Only its own text goes with an element, not the page's.
+    return pages.select(key, F.explode(slices).alias("e")).select(key, "e.n.*", "e.text")
