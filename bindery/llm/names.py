@@ -168,6 +168,8 @@ def _similar(a: list[str], b: list[str], df: dict[str, int], total: int) -> floa
 def groups(edges: DataFrame) -> DataFrame:
     """(name, label) of the connected components of (a, b): the least name of each."""
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    if both.isEmpty():
+        return both.toDF("name", "label")
     labels = cut(both.groupBy(F.col("a").alias("name")).agg(F.least(F.min("b"), F.col("name")).alias("label")))
     while True:
         seen = both.join(labels.withColumnRenamed("name", "b"), "b").select(F.col("a").alias("name"), "label")
